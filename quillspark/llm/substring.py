@@ -99,21 +99,11 @@ class _Slice:
     def given(self, batch, column: str) -> np.ndarray:
         """Words of the slice that the lists of positions in a column name."""
         out = []
-        for d, blobs in enumerate(batch.column(column).to_pylist()):
-            for blob in blobs or ():
-                out.append(unpack(blob)[0].astype(np.int64) + self.words.first[d])
+        for d, blob in enumerate(batch.column(column).to_pylist()):
+            out.append(unpack(blob)[0].astype(np.int64) + self.words.first[d])
         return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _replies(ids: np.ndarray, positions: np.ndarray):
-    """A row for each document: doc_id and its positions, packed."""
-    order = np.lexsort((positions, ids))
-    ids, positions = ids[order], positions[order].astype(np.uint32)
-    cut = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1)) if len(ids) else np.zeros(0, np.int64)
-    blobs = [pack(p) for p in np.split(positions, cut[1:])] if len(cut) else []
-    return pa.table({"doc_id": pa.array(ids[cut], pa.int64()), "at": pa.array(blobs, pa.binary())})
-
-
 def _dealt(bucket: np.ndarray, kind: str, *columns: np.ndarray):
     """Rows (bucket, kind, packed columns), one for each bucket."""
     order = np.argsort(bucket, kind="stable")
@@ -158,7 +148,23 @@ def _anchors(batches, window: int, buckets: int):
         yield from _sent(rows)
 
 
-def _repeated(t: pa.Table) -> pa.Table:
+def _replies(ids: np.ndarray, pos: np.ndarray, buckets: int) -> pa.Table:
+    """Positions for documents, dealt by document."""
+    rows = list(_dealt((mix(ids.view(np.uint64)) >> U64(20)).astype(np.int64) % buckets, "", ids, pos))
+    return pa.table({"dest": pa.array([r[0] for r in rows], pa.int32()), "blob": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def _gathered(t: pa.Table) -> pa.Table:
+    """A row for each document: doc_id and all its positions, packed."""
+    got = [unpack(blob) for blob in t.column("blob").to_pylist()]
+    ids, pos = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
+    order = np.lexsort((pos, ids))
+    ids, pos = ids[order], pos[order].astype(np.uint32)
+    cut = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return pa.table({"doc_id": pa.array(ids[cut], pa.int64()), "at": pa.array([pack(p) for p in np.split(pos, cut[1:])], pa.binary())})
+
+
+def _repeated(t: pa.Table, buckets: int) -> pa.Table:
     """Documents and anchors that repeat, from all anchors of a bucket."""
     got: dict[str, list] = {"single": [], "seen": [], "known": []}
     for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
@@ -169,7 +175,7 @@ def _repeated(t: pa.Table) -> pa.Table:
     seen = np.unique(join("seen", 0, np.uint64))
     if len(seen) and len(gram):
         shared |= seen[np.minimum(np.searchsorted(seen, gram), len(seen) - 1)] == gram
-    return _replies(np.concatenate([ids[shared], join("known", 0, np.int64)]), np.concatenate([pos[shared], join("known", 1, np.uint32)]))
+    return _replies(np.concatenate([ids[shared], join("known", 0, np.int64)]), np.concatenate([pos[shared], join("known", 1, np.uint32)]), buckets)
 
 
 def _suffixes(batches, window: int, buckets: int, frequent: list):
@@ -200,7 +206,7 @@ def _suffixes(batches, window: int, buckets: int, frequent: list):
         yield from _sent(rows)
 
 
-def _subtree(t: pa.Table, window: int) -> pa.Table:
+def _subtree(t: pa.Table, window: int, buckets: int) -> pa.Table:
     """Suffixes of a bucket that a lesser document has too: the leaves below the nodes of window depth."""
     ids, pos, symbols, known = [], [], [[] for _ in range(window)], []
     for kind, blob in zip(t.column("kind").to_pylist(), t.column("blob").to_pylist(), strict=True):
@@ -227,7 +233,7 @@ def _subtree(t: pa.Table, window: int) -> pa.Table:
         least = np.repeat(d[node], np.diff(np.append(node, len(d))))
         out_id.append(d[d > least])
         out_pos.append(p[d > least])
-    return _replies(np.concatenate(out_id) if out_id else np.zeros(0, np.int64), np.concatenate(out_pos) if out_pos else np.zeros(0, np.uint32))
+    return _replies(np.concatenate(out_id) if out_id else np.zeros(0, np.int64), np.concatenate(out_pos) if out_pos else np.zeros(0, np.uint32), buckets)
 
 
 def _kept(batches, window: int, spans: bool):
@@ -270,14 +276,14 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, passages: bool = Fals
     texts = base.filter(F.col("n_words") >= window).join(reps.select(F.col("rep").alias("doc_id"), F.col("h").alias("rep_h")), "doc_id", "left_semi").select("doc_id", "z")
     hits = (
         texts.mapInArrow(partial(_anchors, window=window, buckets=buckets), "bucket int, kind string, blob binary")
-        .groupBy("bucket").applyInArrow(_repeated, "doc_id long, at binary")
-        .groupBy("doc_id").agg(F.collect_list("at").alias("hits"))
+        .groupBy("bucket").applyInArrow(lambda t: _repeated(t, buckets), "dest int, blob binary")
+        .groupBy("dest").applyInArrow(_gathered, "doc_id long, at binary").withColumnRenamed("at", "hits")
     )
     gone = (
         texts.join(hits, "doc_id").select("doc_id", "z", "hits")
         .mapInArrow(partial(_suffixes, window=window, buckets=buckets, frequent=frequent), "bucket int, kind string, blob binary")
-        .groupBy("bucket").applyInArrow(lambda t: _subtree(t, window), "doc_id long, at binary")
-        .groupBy("doc_id").agg(F.collect_list("at").alias("gone"))
+        .groupBy("bucket").applyInArrow(lambda t: _subtree(t, window, buckets), "dest int, blob binary")
+        .groupBy("dest").applyInArrow(_gathered, "doc_id long, at binary").withColumnRenamed("at", "gone")
     )
     extra = ", passages array<struct<start: long, end: long>>" if passages else ""
     cut = texts.join(gone, "doc_id").select("doc_id", "z", "gone").mapInArrow(partial(_kept, window=window, spans=passages), f"doc_id long, removed long, kept_sha string{extra}")
