@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring
+from pyspark.sql import functions as F
+
+from . import fingerprint, hostrules, langid, mixing, packing, quality, substring, toxicity
 from .common import table
 
 
@@ -14,8 +16,52 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, remainder = table(spark, sf_dir, "documents"), langid.fold(4)
+    return langid.identify(docs.withColumn("held_out", remainder == 2), langid.fit(docs, remainder != 2))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, remainder = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), langid.fold(5)
+    model = quality.fit(docs, labels, remainder != 0)
+    scored = quality.score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model)
+    return scored.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_examples(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = hostrules.host_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_quality": op6_quality,
+    "op7_packing": op7_packing,
+    "op8_host_rules": op8_host_rules,
+    "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_host_rules": hostrules.SQL,
+}
