@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprint, hostrules, langid, mixing, packing, quality, substring, toxicity
+from . import fingerprint, hostrules, langid, mixing, packing, pii, quality, substring, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, remainder = table(spark, sf_dir, "documents"), langid.fold(4)
     return langid.identify(docs.withColumn("held_out", remainder == 2), langid.fit(docs, remainder != 2))
@@ -53,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_personal_data": op2_personal_data,
     "op3_language_id": op3_language_id,
     "op4_fingerprints": op4_fingerprints,
     "op6_quality": op6_quality,
