@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import fingerprint, hostrules, langid, mixing, packing, pii, quality, substring, toxicity
+from . import fingerprint, hostrules, langid, mixing, neardup, packing, pii, quality, substring, toxicity
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, remainder = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), langid.fold(5)
     model = quality.fit(docs, labels, remainder != 0)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_personal_data": op2_personal_data,
     "op3_language_id": op3_language_id,
     "op4_fingerprints": op4_fingerprints,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_host_rules": op8_host_rules,
