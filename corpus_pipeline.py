@@ -1,14 +1,68 @@
-"""A corpus pipeline of the training-data operators; each stage reads what the stage before it has written."""
+"""A corpus pipeline of the training-data operators; each stage reads what the stage before it has written.
+
+quality classifier -> near-duplicates -> personal data -> mixing to target weights -> packing.  Every stage works on all
+rows of its predecessor.  All but the last return the columns of documents; the mixing stage decides the order, the last
+stage returns pieces with their ids and places.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.llm import mixing, neardup, packing, pii, quality
+from quillspark.llm.common import materialise
+
+#: Documents whose probability of label 1 is below this go.
+QUALITY = 0.3
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects the documents that the classifier scores below QUALITY; it learns from a bounded sample of the labels."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    scored = quality.score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model, keep=("row",))
+    return scored.filter(F.col("score") >= QUALITY).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: that of the least doc_id."""
+    gone = neardup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets; n_chars follows the text."""
+    out = pii.redact(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of their sources' schedule."""
+    return mixing.mix_sources(docs).orderBy("slot", "place").select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of packed pieces."""
+    return packing.pack_examples(docs)
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("personal data", personal_data_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+
+#: No SQL twin: the classifier, the candidate model and the packing heuristic can't be said in SQL; tests check each stage.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The stages one after the other over the documents of sf_dir."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over the documents of sf_dir, each one's result written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
