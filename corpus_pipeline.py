@@ -40,7 +40,8 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of their sources' schedule."""
-    return mixing.mix_sources(docs).orderBy("slot", "place").select(*docs.columns)
+    _, slot, place = mixing.added(docs.columns)
+    return mixing.mix_sources(docs).orderBy(slot, place).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

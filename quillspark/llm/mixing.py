@@ -10,15 +10,15 @@ begins; there are as many phases as sources at most.  Every document gets exactl
 What the driver holds grows with the number of sources, not of documents; SOURCES bounds it, and more are refused.
 
 Cases: a null source is a source of its own; empty texts and repeated rows are placed like any other; ties of the hash
-fall to the text's hash; an empty table gives an empty result; other columns stay as they are, and a clash
-with the columns added (slot, place, block) is refused.
+fall to the text's hash; an empty table gives an empty result; other columns stay as they are, and
+a name among block, slot and place that is taken gets underscores.
 """
 
 from __future__ import annotations
 
 from heapq import heappop, heappush
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,41 +86,46 @@ def phases(weights: dict, blocks: dict, period: int = PERIOD) -> list[tuple]:
     return out
 
 
-def _key() -> Column:
-    return F.xxhash64(F.col("doc_id"), F.lit(20_011))
+def added(columns: list[str]) -> tuple[str, str, str]:
+    """Names for block, slot and place that no column has: underscores are added to one that is taken."""
+    out = []
+    for name in ("block", "slot", "place"):
+        while name.lower() in {c.lower() for c in columns}:
+            name += "_"
+        out.append(name)
+    return tuple(out)
 
 
 def mix_sources(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, source: str = "source") -> DataFrame:
     """docs with block (number in its source), slot (place of the block among all) and place (row in the block)."""
     spark = docs.sparkSession
-    if clash := {"slot", "place", "block"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} would be overwritten")
     buckets = parallelism(spark) * 8
-    tie = F.xxhash64(F.col("text")) if "text" in docs.columns else F.lit(0)
-    rows = docs.withColumns({"_key": _key(), "_tie": tie}).withColumn("_bucket", F.shiftrightunsigned("_key", 33) % buckets).withColumn("_source", F.coalesce(F.col(source).cast("string"), F.lit("")))
-    rows = rows.withColumn("_source", F.concat(F.when(F.col(source).isNull(), "0").otherwise("1"), "_source"))
-    counts = rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = {r[0]: r[1] for r in counts.groupBy("_source").agg(F.sum("_n")).limit(SOURCES + 1).collect()}
+    tie = F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")
+    name = F.col(f"`{source}`").cast("string")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.when(name.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), name)).alias("source"),
+        F.xxhash64(F.col("doc_id"), F.lit(20_011)).alias("key"),
+        tie.alias("tie"),
+    ).withColumn("bucket", F.shiftrightunsigned("key", 33) % buckets)
+    counts = rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r[0]: r[1] for r in counts.groupBy("source").agg(F.sum("n")).limit(SOURCES + 1).collect()}
     if len(sizes) > SOURCES:
         raise ValueError(f"more than {SOURCES} sources; give fewer, or raise SOURCES")
-    if not sizes:
-        return docs.withColumns({"block": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "place": F.lit(0).cast("int")})
-    own = {s: float((weights or {}).get(None if s[0] == "0" else s[1:], 0) if weights else n**TEMPER) for s, n in sizes.items()}
+    own = {s: float(weights.get(None if s[0] == "0" else s[1:], 0)) if weights else n**TEMPER for s, n in sizes.items()}
     least = min((w for w in own.values() if w > 0), default=1.0) / 1000
     own = {s: w if w > 0 else least for s, w in own.items()}  # sources without a weight come last, but come
     plan = phases(own, {s: -(-n // block) for s, n in sizes.items()})
-    spans = spark.createDataFrame([(s, a, b, c, t) for s, a, b, c, t in plan], "_source string, _from long, _share long, _slot long, _slots array<int>")
-    nth = Window.partitionBy("_source", "_bucket").orderBy("_key", "_tie")
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    rank = rows.withColumn("_nth", F.row_number().over(nth) - 1).join(offsets.select("_source", "_bucket", "_before"), ["_source", "_bucket"])
-    rank = rank.withColumn("_rank", F.col("_before") + F.col("_nth"))
-    rank = rank.withColumns({"block": F.expr(f"_rank div {block}"), "place": (F.col("_rank") % block).cast("int")})
-    # a block belongs to the last phase that begins at or before it
-    ends = Window.partitionBy("_source").orderBy("_from")
-    spans = spans.withColumn("_to", F.coalesce(F.lead("_from").over(ends), F.lit(1 << 62))).filter("_from < _to")
-    placed = rank.join(F.broadcast(spans), "_source").filter("block >= _from and block < _to")
-    k = F.col("block") - F.col("_from")
-    size = F.lit(PERIOD) if len(own) <= PERIOD else F.lit(len(own))
-    slot = F.col("_slot") + F.floor(k / F.col("_share")) * size + F.element_at("_slots", ((k % F.col("_share")) + 1).cast("int"))
-    return placed.withColumn("slot", slot.cast("long")).select(*docs.columns, "block", "slot", "place")
+    spans = spark.createDataFrame(plan, "source string, first long, share long, start long, slots array<int>")
+    later = Window.partitionBy("source").orderBy("first", "start")
+    spans = spans.withColumn("end", F.coalesce(F.lead("first").over(later), F.lit(1 << 62))).filter("first < end")
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("source", "bucket", "before")
+    nth = Window.partitionBy("source", "bucket").orderBy("key", "tie")
+    rank = rows.withColumn("nth", F.row_number().over(nth) - 1).join(offsets, ["source", "bucket"]).withColumn("rank", F.col("before") + F.col("nth"))
+    rank = rank.withColumns({"block": F.expr(f"rank div {block}"), "place": (F.col("rank") % block).cast("int")})
+    placed = rank.join(F.broadcast(spans), "source").filter("block >= first and block < end")  # spans: SOURCES * (SOURCES + 1) / 2 rows at most
+    k, size = F.col("block") - F.col("first"), max(PERIOD, len(own))
+    slot = F.col("start") + F.expr(f"(block - first) div share * {size}") + F.element_at("slots", ((k % F.col("share")) + 1).cast("int"))
+    names = added(docs.columns)
+    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.col("block").alias(names[0]), slot.cast("long").alias(names[1]), F.col("place").alias(names[2]))
