@@ -89,21 +89,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a batch of texts begin and end."""
+    n, word = len(raw), ~IS_SPACE[raw]
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[off] = True
+    start, end = edge[:-1].copy(), edge[1:].copy()
+    start[1:] |= ~word[:-1]
+    end[:-1] |= ~word[1:]
+    return np.flatnonzero(word & start), np.flatnonzero(word & end) + 1
+
+
 class Words:
     """Words of a batch of texts: byte spans, a 64-bit hash each, and for each text its first word (`first`, n + 1)."""
 
     def __init__(self, raw: np.ndarray, off: np.ndarray):
-        self.raw, self.off, n = raw, off, len(raw)
-        word = ~IS_SPACE[raw]
-        edge = np.zeros(n + 1, dtype=bool)
-        edge[off] = True
-        before = np.empty(n, dtype=bool)
-        after = np.empty(n, dtype=bool)
-        if n:
-            before[0], before[1:] = False, word[:-1]
-            after[-1], after[:-1] = False, word[1:]
-        self.start = np.flatnonzero(word & (~before | edge[:-1]))
-        self.end = np.flatnonzero(word & (~after | edge[1:])) + 1
+        self.raw, self.off = raw, off
+        self.start, self.end = word_spans(raw, off)
         self.first = np.searchsorted(self.start, off)
         self.hash = span_hash(raw, self.start, self.end)
 

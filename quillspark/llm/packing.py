@@ -23,10 +23,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, slices
+from .common import IS_SPACE, buffers, slices, span_hash, word_spans
 
 LENGTH, SEGMENTS, END = 4096, 256, 2
-POOL, VOCABULARY = 512, 400_000
+POOL, VOCABULARY = 512, 600_000
+MARK = "\x01"
+ASCII_LOWER = np.arange(256, dtype=np.uint8)
+ASCII_LOWER[65:91] += 32
+LETTERS, MARKS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[97:123] = True
+MARKS[list(b".,!?;:*%$&#|")] = True
 
 
 def tokenizer_path() -> str:
@@ -36,7 +42,7 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Ids of texts, looked up word by word: the tokenizer never joins what white space parts."""
+    """Ids of texts, looked up word by word (by 64-bit hash): the tokenizer never joins what white space parts."""
 
     kept: dict[str, Encoder] = {}
 
@@ -54,28 +60,48 @@ class Encoder:
         return cls.kept[path, end]
 
     def clear(self) -> None:
-        self.index, self.flat, self.off = {None: 0}, np.array([self.end], np.uint32), np.array([0, 1], np.int64)
+        self.index, self.flat, self.off = {}, np.array([self.end], np.uint32), np.array([0, 1], np.int64)
+
+    def learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word; many are encoded at once, with a character between them that none of them has."""
+        if any(MARK in w for w in words):
+            return [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
+        mark, out = self.model.encode(MARK, add_special_tokens=False).ids[0], []
+        texts = [f" {MARK} ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
+        for e in self.model.encode_batch_fast(texts, add_special_tokens=False):
+            ids = e.ids
+            at = [-1, *(i for i, x in enumerate(ids) if x == mark), len(ids)]
+            out += [ids[i + 1 : j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        return out
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, the end id after each, and the offsets of the texts among them."""
-        data, words, counts = raw.tobytes(), [], []
-        for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-            own = data[a:b].split()
-            words += own
-            words.append(None)
-            counts.append(len(own) + 1)
-        if len(self.index) > VOCABULARY:
+        low = ASCII_LOWER[raw]  # as the tokenizer does first
+        start, end = word_spans(low, off)
+        if len(start):  # marks after a last letter are tokens of their own
+            at = np.arange(len(low))
+            at[MARKS[low] | IS_SPACE[low]] = -1
+            last = np.maximum.reduceat(at, start)
+            cut = last + 1
+            cut = cut[(last >= start) & (cut < end) & LETTERS[low[last]]]
+            start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
+        own, first, which = np.unique(span_hash(low, start, end), return_index=True, return_inverse=True)
+        if len(self.index) + len(own) > VOCABULARY:
             self.clear()
-        if new := list({*words} - self.index.keys()):
-            ids = [e.ids for e in self.model.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)]
-            self.index.update(zip(new, range(len(self.off) - 1, len(self.off) - 1 + len(new)), strict=True))
+        place = np.array([self.index.get(h, 0) for h in own.tolist()], np.int64)
+        if (new := np.flatnonzero(place == 0)).size:
+            data = low.tobytes()
+            ids = self.learn([data[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+            place[new] = np.arange(len(self.off) - 1, len(self.off) - 1 + len(new))
+            self.index.update(zip(own[new].tolist(), place[new].tolist(), strict=True))
             self.flat = np.concatenate([self.flat, np.array([x for y in ids for x in y], np.uint32)])
             self.off = np.concatenate([self.off, self.off[-1] + np.cumsum([len(x) for x in ids])])
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        word = np.searchsorted(start, off)
+        at = np.insert(place[which], word[1:], 0)  # the end id after each text
         size = self.off[at + 1] - self.off[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         out = self.flat[np.repeat(self.off[at] - ends[:-1], size) + np.arange(ends[-1])]
-        return out, ends[np.concatenate([[0], np.cumsum(counts)])]
+        return out, ends[word + np.arange(len(off))]
 
 
 class Packer:
