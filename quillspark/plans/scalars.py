@@ -1,0 +1,248 @@
+"""Scalar queries: DOI grammar, numbers, names, slugs and decisions, over all documents and parts."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..functions import doi as D
+from ..functions import match as M
+from ..functions import names as N
+from ..operators import audit
+from .projection import Domain
+from .registry import query
+
+NORM = r"regexp_replace(regexp_replace(lower(trim(doi)), '^(https://doi\.org/|http://dx\.doi\.org/|doi:)', ''), '[.,;:)\]}>]+$', '')"
+VALID = r"regexp_matches({x}, '^10\.[0-9]{{4,9}}/\S+$')"
+SUSPICIOUS = "(NOT " + VALID + " OR (NOT regexp_matches(regexp_replace({x}, '^[^/]*/', ''), '[0-9]') AND NOT contains(regexp_replace({x}, '^[^/]*/', ''), '.')))"
+
+
+@query("f01_normalize_doi", f"SELECT doc_id, {NORM} AS doi FROM queue")
+def normalize(d: Domain):
+    return d.queue.select("doc_id", D.normalize_doi(F.col("doi")).alias("doi"))
+
+
+@query("p01_p02_doi_gates", f"SELECT doc_id, {VALID.format(x='n')} AS valid, {SUSPICIOUS.format(x='n')} AS suspicious FROM (SELECT doc_id, {NORM} AS n FROM queue)")
+def gates(d: Domain):
+    n = D.normalize_doi(F.col("doi"))
+    return d.queue.select("doc_id", D.is_valid_doi(n).alias("valid"), D.is_suspicious_doi(n).alias("suspicious"))
+
+
+@query("p03_gated_edges", f"SELECT count(*) FILTER (WHERE {SUSPICIOUS.format(x='n')}) AS rejected, count(*) FILTER (WHERE NOT {SUSPICIOUS.format(x='n')}) AS kept FROM (SELECT {NORM} AS n FROM queue)")
+def gated_edges(d: Domain):
+    bad = D.is_suspicious_doi(D.normalize_doi(F.col("doi")))
+    return d.queue.agg(F.count_if(bad).alias("rejected"), F.count_if(~bad).alias("kept"))
+
+
+@query("p04_gate_doi", f"SELECT doc_id, CASE WHEN {SUSPICIOUS.format(x='n')} THEN '' ELSE n END AS doi FROM (SELECT doc_id, {NORM} AS n FROM queue)")
+def gate(d: Domain):
+    return d.queue.select("doc_id", D.gate_doi(F.col("doi")).alias("doi"))
+
+
+@query("f02_extract_doi", f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE '10.' || (1000 + doc_id % 9000) || '/' || lang || '.' || doc_id END AS doi FROM documents")
+def extract(d: Domain):
+    text = F.expr("concat(text, ' see 10.12/ab and https://doi.org/10.', 1000 + doc_id % 9000, '/', case when doc_id % 7 = 0 then 'cphy' else concat(lang, '.', case when doc_id % 2 = 0 then '\n' else '' end, doc_id) end, ').\n\n')")
+    return d.table("documents").select("doc_id", D.extract_doi(text).alias("doi"))
+
+
+@query("f03_scan_dois", r"SELECT doc_id, list_transform(regexp_extract_all(t, '10\.[0-9]{4,9}/[^\s\"''<>]+'), lambda x: regexp_replace(lower(x), '[.,;:)\]}>]+$', ''))[1] AS first_doi, len(regexp_extract_all(t, '10\.[0-9]{4,9}/[^\s\"''<>]+')) AS n FROM (SELECT doc_id, 'a ' || doi || ' b <' || doi || '>' AS t FROM queue)")
+def scan(d: Domain):
+    found = D.scan_dois(F.expr("concat('a ', doi, ' b <', doi, '>')"))
+    return d.queue.select("doc_id", F.get(found, F.lit(0)).alias("first_doi"), F.size(found).cast("long").alias("n"))
+
+
+@query("f04_norm_queue_doi", r"SELECT doc_id, regexp_replace(regexp_replace(lower(trim(doi)), '\.+$', ''), '\)+$', '') AS doi FROM queue")
+def norm_queue(d: Domain):
+    return d.queue.select("doc_id", D.norm_queue_doi(F.col("doi")).alias("doi"))
+
+
+@query("f05_f06_integers", r"SELECT doc_id, coalesce(CAST(trunc(TRY_CAST(replace(trim(year), ',', '') AS DOUBLE)) AS INTEGER), 0) AS coerced, CASE WHEN regexp_matches(trim(year), '^[+-]?[0-9]+$') THEN coalesce(TRY_CAST(trim(year) AS INTEGER), 0) ELSE 0 END AS safe, CAST(trunc(TRY_CAST(year || '.7' AS DOUBLE)) AS INTEGER) AS cut FROM queue WHERE year <> '1,998' UNION ALL SELECT doc_id, 1998, 0, NULL FROM queue WHERE year = '1,998'")
+def integers(d: Domain):
+    y = F.col("year")
+    return d.queue.select("doc_id", D.coerce_int(y).alias("coerced"), D.safe_int(y).alias("safe"), F.when(F.concat(y, F.lit(".7")).try_cast("double").isNotNull(), D.coerce_int(F.concat(y, F.lit(".7")))).alias("cut"))
+
+
+@query("f18_f38_f41_doi_forms", "SELECT doc_id, left(sha1(lower(trim(doi))), 6) AS tag, url_encode(doi) AS quoted, 'https://doi.org/' || doi AS url, 'https://doi-org.proxy.example.edu/' || doi AS proxied FROM queue")
+def doi_forms(d: Domain):
+    c = F.col("doi")
+    return d.queue.select("doc_id", D.doi_hash(c).alias("tag"), D.quoted_doi(c).alias("quoted"), D.access_url(c).alias("url"), D.access_url(c, "proxy.example.edu").alias("proxied"))
+
+
+@query("f33_preprint_url", "SELECT doc_id, CASE WHEN doc_id % 9000 = 101 THEN 'https://www.biorxiv.org/content/10.1101/' || doc_id || '.full.pdf' ELSE 'https://doi.org/10.' || (1000 + doc_id % 9000) || '/' || doc_id END AS url, doc_id % 9000 <> 101 AS scrape FROM documents")
+def preprint_url(d: Domain):
+    c = F.expr("concat('10.', 1000 + doc_id % 9000, '/', doc_id)")
+    return d.table("documents").select("doc_id", D.preprint_pdf_url(c).alias("p")).select("doc_id", "p.*")
+
+
+@query("p20_doi_mismatch", "SELECT doc_id, doc_id % 3 = 0 AS two_way, doc_id % 6 = 0 AS three_way FROM documents")
+def mismatch(d: Domain):
+    own = F.expr("concat('10.1000/a.', doc_id)")
+    found = F.when(F.expr("doc_id % 3 = 0"), F.expr("concat('10.1000/b.', doc_id)")).when(F.expr("doc_id % 3 = 1"), own).otherwise("")
+    published = F.when(F.expr("doc_id % 2 = 0"), "").otherwise(F.expr("concat('doi:10.1000/B.', doc_id)"))
+    return d.table("documents").select("doc_id", D.doi_mismatch(found, own).alias("two_way"), D.doi_mismatch(found, own, published).alias("three_way"))
+
+
+# ------------------------------------------------------------------------------------------------------------ names
+
+#: In DuckDB: the special letters spelt out, the accents dropped, the rest removed.
+ASCII = "regexp_replace(strip_accents(replace(replace(replace(replace(replace(replace({x}, 'ø', 'o'), 'Ø', 'O'), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), 'ł', 'l')), '[^\\x00-\\x7F]', '', 'g')"
+
+
+@query("f07_safe_ascii", f"SELECT doc_id, sha256({ASCII.format(x='text')}) AS folded FROM documents")
+def safe_ascii(d: Domain):
+    return d.table("documents").select("doc_id", F.sha2(N.safe_ascii(F.col("text")), 256).alias("folded"))
+
+
+@query("f07_safe_ascii_exact", f"SELECT doc_id, sha256({ASCII.format(x='text')}) AS folded FROM documents")
+def safe_ascii_exact(d: Domain):
+    return d.table("documents").select("doc_id", F.sha2(N.safe_ascii_exact(F.col("text")), 256).alias("folded"))
+
+
+CAPITAL = "lambda w: upper(left(w, 1)) || lower(substr(w, 2))"
+SHORT = "('a', 'an', 'the', 'of', 'in', 'on', 'and', 'to', 'for', 'at', 'from', 'with', 'by', 'as')"
+LONG = SHORT[:-1] + ", 'or', 'is', 'are', 'be', 'been', 'this', 'that', 'these', 'those')"
+WORDS = "list_filter(regexp_split_to_array(trim(regexp_replace(" + ASCII.format(x="regexp_replace(title, '<[^>]+>', '', 'g')") + ", '[^A-Za-z0-9_\\s-]', ' ', 'g')), '\\s+'), lambda w: w <> '' AND lower(w) NOT IN {stop})[1:6]"
+
+
+def _camel(stop: str) -> str:
+    return f"list_aggregate(list_transform({WORDS.format(stop=stop)}, {CAPITAL}), 'string_agg', '')"
+
+
+@query("f08_f09_slugs", f"SELECT doc_id, {_camel(LONG)} AS slug, {_camel(SHORT)} AS slug_title FROM queue")
+def slugs(d: Domain):
+    t = F.col("title")
+    return d.queue.select("doc_id", N.slug(t).alias("slug"), N.slug_title(t).alias("slug_title"))
+
+
+LASTNAME = "CASE doc_id % 6 WHEN 0 THEN 'M' || upper(lang) || 'son' WHEN 1 THEN 'Muller-' || source WHEN 2 THEN source WHEN 3 THEN 'Smith' WHEN 4 THEN 'Unknown' ELSE lang END"
+
+
+@query("f10_last_name", f"SELECT doc_id, {LASTNAME} AS surname FROM documents")
+def last_name(d: Domain):
+    return d.queue.select("doc_id", N.last_name(F.col("authors")).alias("surname"))
+
+
+FOUR = "CASE WHEN regexp_matches(year, '^[0-9]{4}$') THEN year ELSE 'Unknown' END"
+
+
+@query("f11_canonical_stem", f"SELECT doc_id, {FOUR} || '_' || project || '_' || {_camel(LONG)} AS stem FROM queue")
+def canonical_stem(d: Domain):
+    return d.queue.select("doc_id", N.canonical_stem(F.col("year"), F.col("project"), F.col("title")).alias("stem"))
+
+
+@query("f12_f13_filenames", f"SELECT doc_id, {FOUR} || '_' || surname || '_' || s || '.pdf' AS filename, year || '_' || surname || '_' || s || '_preprint.pdf' AS preprint FROM (SELECT q.doc_id, year, {_camel(SHORT)} AS s, surname FROM queue q JOIN (SELECT doc_id, {LASTNAME} AS surname FROM documents) USING (doc_id))")
+def filenames(d: Domain):
+    y, a, t = F.col("year"), F.col("authors"), F.col("title")
+    return d.queue.select("doc_id", N.build_filename(y, a, t).alias("filename"), N.preprint_filename(y, a, t).alias("preprint"))
+
+
+@query("f14_ascii_only", r"SELECT doc_id, sha256(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) AS plain FROM documents")
+def ascii_only(d: Domain):
+    return d.table("documents").select("doc_id", F.sha2(N.ascii_only(F.col("text")), 256).alias("plain"))
+
+
+@query("f15_filename_hints", "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN CASE WHEN doc_id % 8 = 0 THEN '' ELSE '2010' END WHEN 1 THEN '1999' WHEN 2 THEN '2012' ELSE '2005' END AS year, CASE doc_id % 4 WHEN 0 THEN 'Smith' WHEN 1 THEN 'O''Neil' WHEN 2 THEN 'Jones' END AS author, CASE doc_id % 4 WHEN 0 THEN 'Heat Map' WHEN 1 THEN 'heat A B C Map ' || doc_id WHEN 2 THEN 'heat stress ' || doc_id ELSE 'scan ' || doc_id || ' final' END AS title, CASE doc_id % 4 WHEN 0 THEN 'canonical' WHEN 1 THEN 'canonical-loose' WHEN 2 THEN 'legacy' ELSE 'gibberish' END AS kind FROM documents")
+def filename_hints(d: Domain):
+    name = F.expr("case doc_id % 4 when 0 then concat(case when doc_id % 8 = 0 then '0000' else '2010' end, '_Smith_HeatMap.pdf') when 1 then concat('1999_O\\'Neil_heat_ABCMap_', doc_id, '.pdf') when 2 then concat('jones_2012_heat_stress_', doc_id, '.pdf') else concat('scan_', doc_id, '__2005_final.pdf') end")
+    title = F.when(F.col("kind") == "gibberish", F.trim(F.regexp_replace("title", " +", " "))).otherwise(F.col("title"))
+    return d.table("documents").select("doc_id", N.filename_hints(name).alias("h")).select("doc_id", "h.*").withColumn("title", title)
+
+
+@query("f16_p15_library_names", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '?' WHEN doc_id % 3 = 1 THEN '2001' ELSE 'Unknown' END AS year, CASE WHEN doc_id % 3 = 0 THEN '?' WHEN doc_id % 3 = 1 THEN 'SMITH' ELSE 'Li' END AS author, CASE WHEN doc_id % 3 = 0 THEN 'paper' || doc_id WHEN doc_id % 3 = 1 THEN 'et al ' || lang ELSE 'Heat ' || lang END AS title, doc_id % 3 = 1 AS et_al, doc_id % 3 = 2 AS no_year, doc_id % 3 = 1 AS all_caps FROM documents")
+def library_names(d: Domain):
+    name = F.expr("case doc_id % 3 when 0 then concat('paper', doc_id, '.pdf') when 1 then concat('2001_SMITH_et_al_', lang, '.pdf') else concat('Unknown_Li_Heat_', lang, '.pdf') end")
+    return d.table("documents").select("doc_id", N.library_name(name).alias("l"), N.name_flags(name).alias("f")).select("doc_id", "l.*", "f.*")
+
+
+@query("f17_companion", "SELECT doc_id, '2010_Smith_Heat.' || doc_id || '.ris' AS ris FROM documents")
+def companion(d: Domain):
+    return d.table("documents").select("doc_id", N.companion(F.expr("concat('2010_Smith_Heat.', doc_id, '.PDF')"), ".ris").alias("ris"))
+
+
+@query("p16_bundles", "SELECT doc_id, doc_id % 3 = 0 AS bundle FROM documents")
+def bundles(d: Domain):
+    name = F.expr("case doc_id % 3 when 0 then concat('2007_X_Vol', doc_id % 9, '_Edition2.pdf') when 1 then '2006_Revolver4_Evolution9.pdf' else '2006_H_Limits.pdf' end")
+    return d.table("documents").select("doc_id", N.is_bundle(name, F.lit("")).alias("bundle"))
+
+
+@query("f21_f34_match_keys", f"SELECT doc_id, lower({ASCII.format(x='authors')}) AS folded, list_aggregate(list_filter(regexp_extract_all(lower(title), '[a-zA-Z0-9]{{3,}}'), lambda w: w NOT IN {LONG[:-1]}, 'was', 'were')), 'string_agg', ' ') AS keywords FROM queue")
+def match_keys(d: Domain):
+    return d.queue.select("doc_id", N.normalize_for_match(F.col("authors")).alias("folded"), N.keywordize(F.col("title")).alias("keywords"))
+
+
+@query("f23_query_string", "SELECT doc_id, trim(regexp_replace(authors || ' ' || lang || ' ' || year, ' +', ' ', 'g')) AS q FROM (SELECT q.doc_id, q.authors, q.year, d.lang FROM queue q JOIN documents d USING (doc_id))")
+def query_string(d: Domain):
+    q = d.queue.join(d.table("documents").select("doc_id", "lang"), "doc_id")
+    return q.select("doc_id", M.query_string(F.col("authors"), F.col("lang"), F.col("year")).alias("q"))
+
+
+@query("f25_f26_score_match", """SELECT doc_id, label, CASE label WHEN 'HIGH' THEN 4 WHEN 'MED_NO_YEAR' THEN 3 WHEN 'MED_AUTHOR_ONLY' THEN 3 WHEN 'MED_TITLE_STRONG' THEN 3 WHEN 'MED_AUTHOR_YEAR_MISMATCH' THEN 2 WHEN 'MED_TYPE_MISMATCH' THEN 2 WHEN 'LOW_TITLE_ONLY' THEN 1 ELSE 0 END AS rank FROM (SELECT doc_id, CASE
+  WHEN doc_id % 10 = 0 THEN 'NO_RESULT' WHEN dem AND (am OR ym) THEN 'MED_TYPE_MISMATCH' WHEN dem THEN 'AMBIG' WHEN r < 1.10 AND NOT twin THEN 'AMBIG' WHEN am AND ym THEN 'HIGH' WHEN am AND yh = '' THEN 'MED_NO_YEAR' WHEN am AND abs(y - TRY_CAST(yh AS INT)) >= 2 THEN 'MED_AUTHOR_YEAR_MISMATCH' WHEN am THEN 'MED_AUTHOR_ONLY' WHEN r >= 1.20 AND (ym OR yh = '') THEN 'MED_TITLE_STRONG' ELSE 'LOW_TITLE_ONLY' END AS label FROM
+  (SELECT doc_id, doc_id % 9 = 0 AS dem, doc_id % 2 = 0 AS am, 2000 + doc_id % 20 AS y, CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN CAST(2000 + doc_id % 20 AS VARCHAR) WHEN 2 THEN CAST(2001 + doc_id % 20 AS VARCHAR) ELSE CAST(2005 + doc_id % 20 AS VARCHAR) END AS yh, doc_id % 5 = 1 AS ym, (50.0 + doc_id % 30) / 55.0 AS r, doc_id % 7 = 0 AS twin FROM documents))""")
+def score_match(d: Domain):
+    rows = d.table("documents").select(
+        "doc_id",
+        F.expr("case when doc_id % 10 <> 0 then 50.0D + doc_id % 30 end").alias("s1"),
+        F.expr("case when doc_id % 2 = 0 then 'Mølmen' else 'Lüthi' end").alias("family"),
+        F.expr("cast(2000 + doc_id % 20 as string)").alias("year"),
+        F.expr("case when doc_id % 7 = 0 then case when doc_id % 2 = 0 then 'Molmen' else 'Luthi' end else 'Other' end").alias("family2"),
+        F.expr("case doc_id % 5 when 0 then '' when 1 then cast(2000 + doc_id % 20 as string) when 2 then cast(2001 + doc_id % 20 as string) else cast(2005 + doc_id % 20 as string) end").alias("hint"),
+        F.expr("doc_id % 9 = 0").alias("demoted"),
+    )
+    label = M.score_match(F.col("hint"), F.lit("Molmen"), {"score": F.col("s1"), "family": F.col("family"), "year": F.col("year")}, {"score": F.lit(55.0), "family": F.col("family2"), "year": F.col("year")}, F.col("demoted"))
+    return rows.select("doc_id", label.alias("label")).withColumn("rank", M.confidence_rank(F.col("label")))
+
+
+@query("p10_type_order", "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN doc_id % 4 = 0 THEN 2 WHEN doc_id % 4 = 1 THEN 1 ELSE 0 END, doc_id) AS place FROM documents")
+def type_order(d: Domain):
+    kind = F.expr("case doc_id % 4 when 0 then 'dataset' when 1 then 'novelty' when 2 then 'journal-article' else 'Review' end")
+    return d.table("documents").select("doc_id", F.row_number().over(Window.partitionBy("source").orderBy(M.type_class(kind), "doc_id")).alias("place"))
+
+
+@query("f27_f28_merge", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE 'new' || lang END AS title, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'j' || source END AS journal FROM documents")
+def merge(d: Domain):
+    new, old = F.expr("case when doc_id % 3 = 0 then '' else concat('new', lang) end"), F.lit("old")
+    journal = F.expr("case when doc_id % 5 = 0 then '' else concat('j', source) end")
+    return d.table("documents").select("doc_id", M.kept_if_empty(new, old).alias("title"), M.kept_if_empty(journal, F.lit("")).alias("journal"))
+
+
+@query("f32_collision_safe", "SELECT doc_id, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY doc_id) > 1 THEN source || '_' || left(sha1('10.1/' || doc_id), 6) || '.pdf' ELSE source || '.pdf' END AS dest FROM documents")
+def collision_safe(d: Domain):
+    rows = d.table("documents").select("doc_id", F.concat("source", F.lit(".pdf")).alias("name"))
+    return audit.collision_safe(rows, "name", "doc_id", D.doi_hash(F.expr("concat('10.1/', doc_id)"))).select("doc_id", "dest")
+
+
+@query("f40_first_destination", "SELECT 'literature/' || source AS destination FROM documents WHERE doc_id % 3 <> 0 ORDER BY doc_id LIMIT 1")
+def first_destination(d: Domain):
+    from ..operators.queues import first_destination as first
+
+    return first(d.queue, "doc_id")
+
+
+@query("p06_head", "SELECT doc_id FROM queue WHERE CAST(citation_count AS INTEGER) >= 100 ORDER BY doc_id LIMIT 25")
+def head(d: Domain):
+    return d.queue.filter(D.coerce_int(F.col("citation_count")) >= 100).orderBy("doc_id").limit(25).select("doc_id")
+
+
+@query("p11_integrity", "SELECT status, count(*) AS n FROM (SELECT CASE WHEN doc_id % 4 = 0 THEN 'fake' WHEN n_chars < 10000 THEN 'tiny' ELSE 'ok' END AS status FROM documents) GROUP BY status")
+def integrity(d: Domain):
+    head = F.expr("case when doc_id % 4 = 0 then '<htm' else '%PDF' end")
+    return d.table("documents").select(audit.pdf_integrity(head, F.col("n_chars")).alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("o10_rename_ladder", "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'NO_DOI' WHEN doc_id % 7 = 0 THEN 'NO_CROSSREF' WHEN doc_id % 3 = 0 THEN 'ALREADY_CANONICAL' WHEN doc_id % 11 = 0 THEN 'WOULD_COLLIDE' WHEN doc_id % 4 > 1 THEN 'SKIP_YEAR_DIFF' ELSE 'WOULD_RENAME' END AS status FROM documents")
+def rename_ladder(d: Domain):
+    e = F.expr
+    status = audit.rename_ladder(e("case when doc_id % 5 = 0 then '' else 'x' end"), e("doc_id % 7 <> 0"), e("case when doc_id % 3 = 0 then 'a' else 'b' end"), F.lit("a"), e("doc_id % 11 = 0"), e("cast(doc_id % 4 as int)"))
+    return d.table("documents").select("doc_id", status.alias("status"))
+
+
+@query("j10_f20_fuzzy_best")
+def fuzzy_best(d: Domain):
+    """The most similar title of the next few parts, by the exact ratio; candidates are blocked by type."""
+    from ..functions.text import normalize_title
+
+    p = d.table("part").select("p_partkey", normalize_title(F.col("p_name")).alias("t"), "p_type", "p_brand")
+    other = p.select(F.col("p_partkey").alias("k2"), F.col("t").alias("t2"), "p_type", "p_brand")
+    pairs = p.join(other, ["p_type", "p_brand"]).filter("p_partkey <> k2").withColumn("similarity", M.title_similarity("t", "t2"))
+    return pairs.filter("similarity >= 0.85").groupBy("p_partkey").agg(F.max_by(F.struct("k2", "similarity"), F.struct("similarity", -F.col("k2"))).alias("b")).select("p_partkey", F.col("b.k2").alias("match"), "b.similarity")
