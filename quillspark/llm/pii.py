@@ -46,7 +46,7 @@ LOOSE = {
 #: What a text must have for the loose pattern to be tried.
 HINT = {"email": r"(?i)[ (\[{](?:at)[ )\]}]", "ip": r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:", "card": r"[0-9]{4}[ ./_-]{1,2}[0-9]{4}", "phone": r"[0-9]\)?[ ./-]{1,2}[0-9]{2}"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-AROUND = 28
+AROUND, CHUNK = 28, 128
 FEATURES = ("chars", "digits", "groups", "longest", "shortest", "brackets", "slashes", "luhn", "led_by_zero", "dots", "told", "denied", "capital", "ending")
 EXAMPLES, ROUNDS, DEPTH, RATE, PRECISION = 2_000, 30, 3, 0.3, 0.98
 SPAN = "array<struct<s:int,e:int,m:string>>"
@@ -61,9 +61,15 @@ def _quoted(pattern: str) -> str:
 def _spans(pattern: str, when: str) -> str:
     """SQL: the matches of a pattern in _t with their code-point spans."""
     q = _quoted(pattern)
-    zipped = f"zip_with(regexp_extract_all(_t, {q}, 0), split(_t, {q}, -1), (m, p) -> struct(m AS m, length(p) AS gap, length(m) AS n))"
+    matches = f"zip_with(regexp_extract_all(_t, {q}, 0), split(_t, {q}, -1), (m, p) -> struct(m AS m, length(p) AS gap, coalesce(length(m), 0) AS n))"
+    # positions are running sums: first of whole chunks, then within each, so that n matches cost about n * CHUNK steps
+    chunks = f"transform(sequence(0, size(_m) DIV {CHUNK}), c -> slice(_m, c * {CHUNK} + 1, {CHUNK}))"
+    sums = "transform(_k, k -> aggregate(k, 0, (a, x) -> a + x.gap + x.n))"
     step = "(a, x) -> IF(x.m IS NULL, a, struct(a.at + x.gap + x.n AS at, concat(a.out, array(struct(a.at + x.gap AS s, a.at + x.gap + x.n AS e, x.m AS m))) AS out))"
-    found = f"aggregate({zipped}, struct(0 AS at, CAST(array() AS {SPAN}) AS out), {step}).out"
+    found = f"flatten(transform(_k, (k, i) -> aggregate(k, struct(aggregate(slice(_s, 1, i), 0, (a, x) -> a + x) AS at, CAST(array() AS {SPAN}) AS out), {step}).out))"
+    # let-bindings: one-element arrays whose element the lambda names
+    for name, value in (("_s", sums), ("_k", chunks), ("_m", matches)):
+        found = f"transform(array({value}), {name} -> {found})[0]"
     return f"CASE WHEN {when} THEN {found} ELSE CAST(array() AS {SPAN}) END"
 
 
@@ -285,7 +291,7 @@ def redact(docs: DataFrame) -> DataFrame:
     held = docs.withColumn("text", F.col("text").cast("string"))
     found = find_personal_data(held.select(F.struct(*names).alias("_row"), "text"), keep=("_row",))
     order = "array_sort(spans, (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 WHEN a.e > b.e THEN -1 WHEN a.e < b.e THEN 1 ELSE 0 END)"
-    step = "(a, x) -> IF(x.e <= a.at, a, struct(x.e AS at, IF(x.s < a.at, a.out, concat(a.out, substring(_t, a.at + 1, x.s - a.at), '[', upper(x.kind), ']')) AS out))"
-    text = F.expr(f"aggregate(_o, struct(0 AS at, '' AS out), {step}, a -> concat(a.out, substring(_t, a.at + 1)))")
+    step = "(a, x) -> IF(x.e <= a.at, a, struct(x.e AS at, IF(x.s < a.at, a.out, concat(a.out, array(substring(_t, a.at + 1, x.s - a.at), concat('[', upper(x.kind), ']')))) AS out))"
+    text = F.expr(f"aggregate(_o, struct(0 AS at, CAST(array() AS array<string>) AS out), {step}, a -> concat(array_join(a.out, ''), substring(_t, a.at + 1)))")
     changed = found.withColumn("_o", F.expr(order)).withColumn("_new", F.when(F.size("_o") > 0, text).otherwise(F.col("_row.text")))
     return changed.select(*[F.col("_new").alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in names])
