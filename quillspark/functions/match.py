@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .names import normalize_for_match
 
@@ -16,7 +17,7 @@ DEMOTED = ("dataset", "peer-review", "component", "grant", "book", "book-set", "
 RANKS = {"HIGH": 4, "MED_NO_YEAR": 3, "MED_AUTHOR_ONLY": 3, "MED_TITLE_STRONG": 3, "MED_AUTHOR_YEAR_MISMATCH": 2, "MED_TYPE_MISMATCH": 2, "LOW_TITLE_ONLY": 1}
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two normalised titles; no built-in function has it."""
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

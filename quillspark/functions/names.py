@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Letters without a decomposition, and the stop-words of the two slugs and of the keywords.
 LETTERS = {"ø": "o", "Ø": "O", "æ": "ae", "Æ": "Ae", "ß": "ss", "þ": "th", "Þ": "Th", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "œ": "oe", "Œ": "Oe", "ı": "i", "İ": "I"}
@@ -38,7 +39,7 @@ def safe_ascii(c: Column) -> Column:
     return F.regexp_replace(out, r"[^\x00-\x7F]", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def safe_ascii_exact(c: pd.Series) -> pd.Series:
     table = str.maketrans(LETTERS)
 
