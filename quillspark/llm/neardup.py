@@ -8,7 +8,8 @@ more than SIGMAS standard errors below the threshold go, the others are confirme
 
 Texts with one shingle set are a class and enter once.  In a bucket all meet the least member first (no pairs among the
 others).  Links are joined to components; buckets that still hold several components then pair the members
-outside the bucket's main component with all members of other components, so that no link between components is lost.
+outside the bucket's main component with all members of other components, so that no link between components is lost:
+in blocks of BLOCK texts, each task counting common shingles exactly and returning one link for two components at most.
 
 Probability that a pair of Jaccard index 0.8 meets in no band: (1 - 0.8 ** 5) ** 40, about 1e-7.
 
@@ -30,7 +31,7 @@ from .common import GOLDEN, MIX_A, MIX_B, U64, Words, buffers, expand_texts, mat
 from .graph import components
 
 SHINGLE, PERCENT = 5, 80
-BANDS, ROWS, MANTISSA, SIGMAS = 40, 5, 10, 5.0
+BANDS, ROWS, MANTISSA, SIGMAS, BLOCK = 40, 5, 10, 5.0, 256
 REGISTERS = BANDS * ROWS
 LOW = np.arange(256, dtype=np.uint8)
 LOW[65:91] += 32
@@ -153,6 +154,46 @@ def _confirmed(batches, k: int, percent: int):
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _common(hashes: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set, some columns of shingles at a time."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    _, column, seen = np.unique(hashes, return_inverse=True, return_counts=True)
+    some = seen[column] > 1
+    place = np.cumsum(seen > 1) - 1
+    doc, column = doc[some], place[column[some]]
+    out, width = np.zeros((len(left), len(right)), np.float32), 4096
+    row = np.full((2, len(bounds) - 1), -1)
+    row[0, left], row[1, right] = np.arange(len(left)), np.arange(len(right))
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [at, at + width])
+        d, c = doc[lo:hi], column[lo:hi] - at
+        sides = []
+        for k, size in enumerate((len(left), len(right))):
+            own = row[k, d] >= 0
+            m = np.zeros((size, width), np.float32)
+            m[row[k, d[own]], c[own]] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _crossing(t: pa.Table, k: int, percent: int) -> pa.Table:
+    """Links between components among the texts of one block pair; one for two components at most."""
+    t = t.combine_chunks()
+    hashes, bounds = shingles(*expand_texts(t.column("z")), k)
+    size, rep, component = np.diff(bounds), t.column("rep").to_numpy(), t.column("component").to_numpy()
+    left, right = (np.flatnonzero(t.column(c).to_numpy(zero_copy_only=False)) for c in ("asks", "asked"))
+    both = _common(hashes, bounds, left, right)
+    union = size[left][:, None] + size[right][None, :] - both
+    i, j = np.nonzero((100 * both >= percent * union) & (both > 0) & (component[left][:, None] != component[right][None, :]))
+    a, b = left[i], right[j]
+    pair = np.sort(np.stack([component[a], component[b]]), axis=0)
+    _, one = np.unique(pair, axis=1, return_index=True) if len(a) else (None, np.zeros(0, np.int64))
+    return pa.table({"a": pa.array(np.minimum(rep[a], rep[b])[one], pa.int64()), "b": pa.array(np.maximum(rep[a], rep[b])[one], pa.int64())})
+
+
 class _Search:
     def __init__(self, docs: DataFrame, k: int, percent: int):
         self.k, self.percent = k, percent
@@ -169,7 +210,8 @@ class _Search:
         """key, rep: members of all buckets with two or more."""
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("sketch"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
         rows = self.reps.select("rep", F.explode(bands).alias("key"))
-        many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("pivot")).filter("c > 1").select("key", "pivot")
+        many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("pivot"), *[F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"x{i}") for i in (1, 2)]).filter("c > 1")
+        many = many.groupBy("pivot", "c", "x1", "x2").agg(F.min("key").alias("key")).select("key", "pivot")  # of buckets with the same members one
         return materialise(rows.join(many, "key"), "buckets")
 
     def keep_texts(self, buckets: DataFrame) -> None:
@@ -186,6 +228,25 @@ class _Search:
         return full.mapInArrow(partial(_confirmed, k=self.k, percent=self.percent), "a long, b long").distinct()
 
 
+    def crossings(self, buckets: DataFrame, label: DataFrame) -> DataFrame:
+        """Links between components that meet in a bucket: members outside its main component against all others."""
+        told = buckets.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+        parts = told.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+        mixed = parts.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("size"), F.max(F.struct("c", "component")).alias("main")).filter("kinds > 1")
+        mixed = mixed.select("key", F.col("main.component").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("size") - F.col("main.c")) / BLOCK).cast("int").alias("asking"))
+        rows = told.join(mixed, "key").withColumn("outside", F.col("component") != F.col("main"))
+        own = lambda n: F.pmod(F.xxhash64("rep", "key"), F.col(n)).cast("int")
+        cell = lambda i, j, asks, asked: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), asks.alias("asks"), F.lit(asked).alias("asked"))
+        span = lambda n: F.sequence(F.lit(0), F.greatest(F.col(n), F.lit(1)) - 1)
+        asked = F.transform(span("asking"), lambda i: cell(i, own("blocks"), F.lit(False), True))
+        asking = F.when(F.col("outside"), F.transform(span("blocks"), lambda j: cell(own("asking"), j, F.lit(True), False))).otherwise(F.array().cast("array<struct<i:int,j:int,asks:boolean,asked:boolean>>"))
+        cells = F.when(F.col("blocks") == 1, F.array(cell(F.lit(0), F.lit(0), F.col("outside"), True))).otherwise(F.concat(asked, asking))
+        rows = rows.select("key", "rep", "component", F.explode(cells).alias("c")).select("key", "rep", "component", "c.*")
+        full = rows.join(self.texts.select(F.col("doc_id").alias("rep"), "z"), "rep").select("key", "i", "j", "rep", "component", "asks", "asked", "z")
+        k, percent = self.k, self.percent
+        return full.groupBy("key", "i", "j").applyInArrow(lambda t: _crossing(t, k, percent), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept (doc_id is its component's) of each document."""
     s = _Search(docs, k, percent)
@@ -194,15 +255,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     star = materialise(buckets.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     links = materialise(s.links(star), "links")
     label = materialise(components(links), "components")
-    # buckets that still hold several components
-    told = buckets.join(label.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    told = told.select("key", "rep", "component")
-    mixed = told.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.mode("component").alias("main")).filter("lo < hi").select("key", "main")
-    told = materialise(told.join(mixed, "key"), "mixed")
-    outside = told.filter("component != main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    others = told.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"))
-    pairs = outside.join(others, "key").filter("cx != cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialise(s.links(pairs.join(star, ["a", "b"], "left_anti")), "links")
+    more = materialise(s.crossings(buckets, label), "links")
     final = materialise(components(links.union(more)), "components")
     reps = s.classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("h", F.coalesce("component", "rep").alias("component_id"))
     out = s.members.join(reps, "h", "left")
