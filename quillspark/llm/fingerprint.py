@@ -19,6 +19,7 @@ next; an empty table gives an empty result; a row without doc_id comes first; ot
 from __future__ import annotations
 
 import hashlib
+import json
 from functools import partial
 
 import numpy as np
@@ -185,12 +186,17 @@ def _edited(batches, size: int):
         yield flush()
 
 
+def _numbers(values: list) -> Column:
+    """A list of numbers as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+
 def _range_of(doc_id: Column, cuts: list[int]) -> Column:
     """How many of the sorted cuts are at most doc_id, by binary search."""
     if not cuts:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
-    bounds = F.array(*[F.lit(c) for c in cuts])
+    bounds = _numbers(cuts)
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= doc_id, at + step).otherwise(at))
 
 
@@ -214,9 +220,10 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
     order = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
     firsts = sorted((r[0], r[1]) for r in ranged.groupBy("part").agg(F.min(order).alias("f")).collect())
     before = {firsts[i][0]: firsts[i - 1][0] for i in range(len(firsts))}
-    first = spark.createDataFrame([(p, f["doc_id"], f["h"], before[p]) for p, f in firsts], "part int, fid long, fh long, back int")
-    marked = ranged.join(F.broadcast(first), "part").withColumn("_h", F.xxhash64("text"))
-    is_first = F.col("doc_id").eqNullSafe(F.col("fid")) & (F.col("_h") == F.col("fh"))
+    held = {p: (f["doc_id"], f["h"], before[p]) for p, f in firsts}
+    of_part = lambda i: F.get(_numbers([held.get(p, (None,) * 3)[i] for p in range(firsts[-1][0] + 1)]), F.col("part"))
+    marked = ranged.withColumn("_h", F.xxhash64("text")).withColumn("back", of_part(2).cast("int"))
+    is_first = F.col("doc_id").eqNullSafe(of_part(0)) & (F.col("_h") == of_part(1))
     copies = F.when(is_first, F.array(F.struct(F.col("part").alias("to"), F.lit(True).alias("own")), F.struct(F.col("back").alias("to"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(F.col("part").alias("to"), F.lit(True).alias("own"))))
     dealt = marked.select("doc_id", "text", "_h", F.explode(copies).alias("c")).select("doc_id", "text", "_h", "c.to", "c.own")
     placed = dealt.repartition(len(firsts), "to").sortWithinPartitions("to", F.col("own").desc(), F.col("doc_id").asc_nulls_first(), "_h")
