@@ -215,8 +215,9 @@ class _Search:
         return materialise(rows.join(many, "key"), "buckets")
 
     def keep_texts(self, buckets: DataFrame) -> None:
-        need = buckets.select(F.col("rep").alias("doc_id")).distinct()
-        self.texts = materialise(self.docs.join(need, "doc_id", "left_semi").mapInArrow(_squeezed, "doc_id long, z binary"), "texts")
+        """The compressed texts of all members of buckets; dealt by doc_id at every size, as the members grow with the input."""
+        need = buckets.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+        self.texts = materialise(self.docs.mapInArrow(_squeezed, "doc_id long, z binary").join(need, "doc_id", "left_semi"), "texts")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b), those that reach the threshold: by size, then by sketch, then by the full sets."""
