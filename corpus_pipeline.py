@@ -2,7 +2,8 @@
 
 quality classifier -> near-duplicates -> personal data -> mixing to target weights -> packing.  Every stage works on all
 rows of its predecessor.  All but the last return the columns of documents; the mixing stage decides the order, the last
-stage returns pieces with their ids and places.
+stage returns pieces with their ids and places.  A table that is read again has its files in the order of their sizes, so
+the last stage puts the documents into the schedule's order again before it packs them.
 """
 
 from __future__ import annotations
@@ -38,15 +39,20 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.select(*docs.columns)
 
 
-def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in the order of their sources' schedule."""
+def scheduled(docs: DataFrame) -> DataFrame:
+    """docs in the order of the schedule, which follows from the rows alone: partitions by slot, rows in them by slot and place."""
     _, slot, place = mixing.added(docs.columns)
     return mixing.mix_sources(docs).orderBy(slot, place).select(*docs.columns)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in the order of their sources' schedule."""
+    return scheduled(docs)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of packed pieces."""
-    return packing.pack_examples(docs)
+    """Sequences of packed pieces; sequence_id follows the schedule from task to task, within one as the pool packs."""
+    return packing.pack_examples(scheduled(docs.select("doc_id", "text", "source")))
 
 
 STAGES = [

@@ -464,3 +464,27 @@ def test_pipeline_awkward(awkward, spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
         docs = docs if name == "packing" else spark.createDataFrame(docs.collect(), docs.schema)
     assert docs.count() > 0
+
+
+def test_pipeline_order(spark, monkeypatch):
+    """Through run(), tables written and read again: from task to task the packed documents follow the schedule."""
+    import corpus_pipeline as P
+
+    before, seen = {}, []
+    for key, value in {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "64m", "spark.sql.files.maxPartitionBytes": "64m"}.items():
+        before[key] = spark.conf.get(key)
+        spark.conf.set(key, value)  # a task for each file
+    stages = [s for s in P.STAGES if s[0] in ("mixing", "packing")]
+    monkeypatch.setattr(P, "STAGES", [stages[0], (stages[1][0], lambda s, d, f: seen.append(d) or stages[1][1](s, d, f))])
+    try:
+        rows = P.run(spark, "/root/testdata/sf0.01").select("doc_id", "sequence_id").collect()
+        slot = {r.doc_id: r.slot for r in mixing.mix_sources(seen[0]).select("doc_id", "slot").collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    by = defaultdict(set)
+    for r in rows:
+        by[r.sequence_id >> 32].add(slot[r.doc_id])
+    spans = [(min(by[k]), max(by[k])) for k in sorted(by)]
+    assert set(slot) == {r.doc_id for r in rows} and len(spans) > 2
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
