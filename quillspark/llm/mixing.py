@@ -7,7 +7,11 @@ shares of PERIOD slots, so the schedule repeats: the driver computes one period
 block's slot follows from its number.  When a source ends, the weights of the others are rescaled and a new phase
 begins; there are as many phases as sources at most.  Every document gets exactly one place.
 
-What the driver holds grows with the number of sources, not of documents; SOURCES bounds it, and more are refused.
+What the driver holds is bounded by SOURCES.  With more sources the LARGE ones of most weight are scheduled as above,
+each on its own; the others are put together by the time at which they end (four classes to a doubling), and a class is
+scheduled like one source with the sum of its weights and blocks.  In its class, the k-th block of a source with weight
+w comes by (k + u) / w, u a hash of the source in [0, 1), so inside the fluid schedule's span of that block.  The bound
+of one block holds for the large sources and for classes as wholes; a class keeps its weight until its last block.
 
 Cases: a null source is a source of its own; empty texts and repeated rows are placed like any other; ties of the hash
 fall to the text's hash; an empty table gives an empty result; other columns stay as they are, and
@@ -24,7 +28,9 @@ from pyspark.sql.window import Window
 
 from .common import parallelism
 
-BLOCK, PERIOD, SOURCES = 32, 10_000, 500
+BLOCK, PERIOD, SOURCES, LARGE = 32, 10_000, 500, 200
+#: Steps to a doubling of the end time, and the classes at most on either side of 1; LARGE and all classes stay below SOURCES.
+STEPS, FARTHEST = 4, 120
 #: Without target weights: shares in proportion to size to this power, the usual tempering of large sources.
 TEMPER = 0.7
 
@@ -96,6 +102,37 @@ def added(columns: list[str]) -> tuple[str, str, str]:
     return tuple(out)
 
 
+def many(totals: DataFrame, weights: dict | None, block: int, buckets: int) -> tuple[dict, dict, DataFrame]:
+    """Weights and blocks of the large sources and of the classes of all others; for each block of the others its class and number there."""
+    spark = totals.sparkSession
+    if weights:
+        given = {("0" if s is None else f"1{s}"): float(w) for s, w in weights.items() if w > 0}
+        named = spark.createDataFrame(list(given.items()), "source string, w double")
+        least = totals.join(named, "source").agg(F.min("w")).first()[0] or 1.0
+        weighed = totals.join(named, "source", "left").withColumn("w", F.coalesce("w", F.lit(least / 1000)) / least)
+    else:
+        weighed = totals.withColumn("w", F.pow("n", F.lit(TEMPER)))
+    weighed = weighed.withColumn("w", F.round("w", 6)).withColumn("blocks", F.ceil(F.col("n") / block).cast("long"))
+    large = weighed.orderBy(F.desc("w"), F.desc("n"), "source").limit(LARGE).collect()
+    names = spark.createDataFrame([(r.source,) for r in large], "source string")
+    step = F.floor(F.log2(F.col("blocks") / F.col("w")) * STEPS)
+    step = F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), step))
+    rest = weighed.join(F.broadcast(names), "source", "left_anti").withColumn("step", step).withColumn("class", F.concat(F.lit("2"), "step"))
+    # in millionths: sums of whole numbers are the same in any order
+    classes = rest.groupBy("class").agg(F.sum((F.col("w") * 1_000_000).cast("decimal(28,0)")).alias("w"), F.sum("blocks").alias("blocks")).collect()
+    own = {r.source: r.w for r in large} | {r["class"]: float(r.w) / 1e6 for r in classes}
+    blocks = {r.source: r.blocks for r in large} | {r["class"]: r.blocks for r in classes}
+    u = F.shiftrightunsigned(F.xxhash64("source", F.lit(20_012)), 11) / F.lit(float(1 << 53))
+    due = rest.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("due", (F.col("block") + u) / F.col("w"))
+    share = F.col("due") / F.pow(F.lit(2.0), (F.col("step") + 1) / STEPS)  # from 0 to 1 but for the outermost classes
+    due = due.withColumn("part", F.least(F.lit(buckets - 1), F.floor(share * buckets)))
+    before = Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = due.groupBy("class", "part").agg(F.count(F.lit(1)).alias("c")).withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
+    nth = Window.partitionBy("class", "part").orderBy("due", "source", "block")
+    small = due.withColumn("nth", F.row_number().over(nth) - 1).join(offsets, ["class", "part"])
+    return own, blocks, small.select("source", "block", "class", (F.col("before") + F.col("nth")).alias("nth_block"))
+
+
 def mix_sources(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, source: str = "source") -> DataFrame:
     """docs with block (number in its source), slot (place of the block among all) and place (row in the block)."""
     spark = docs.sparkSession
@@ -109,23 +146,31 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, block: int = BLOCK
         tie.alias("tie"),
     ).withColumn("bucket", F.shiftrightunsigned("key", 33) % buckets)
     counts = rows.groupBy("source", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r[0]: r[1] for r in counts.groupBy("source").agg(F.sum("n")).limit(SOURCES + 1).collect()}
+    totals = counts.groupBy("source").agg(F.sum("n").alias("n"))
+    sizes = {r[0]: r[1] for r in totals.limit(SOURCES + 1).collect()}
+    small = None
     if len(sizes) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources; give fewer, or raise SOURCES")
-    own = {s: float(weights.get(None if s[0] == "0" else s[1:], 0)) if weights else n**TEMPER for s, n in sizes.items()}
-    least = min((w for w in own.values() if w > 0), default=1.0) / 1000
-    own = {s: w if w > 0 else least for s, w in own.items()}  # sources without a weight come last, but come
-    plan = phases(own, {s: -(-n // block) for s, n in sizes.items()})
-    spans = spark.createDataFrame(plan, "source string, first long, share long, start long, slots array<int>")
-    later = Window.partitionBy("source").orderBy("first", "start")
+        own, blocks, small = many(totals, weights, block, buckets)
+    else:
+        own = {s: float(weights.get(None if s[0] == "0" else s[1:], 0)) if weights else n**TEMPER for s, n in sizes.items()}
+        least = min((w for w in own.values() if w > 0), default=1.0) / 1000
+        own = {s: w if w > 0 else least for s, w in own.items()}  # sources without a weight come last, but come
+        blocks = {s: -(-n // block) for s, n in sizes.items()}
+    plan = phases(own, blocks)
+    spans = spark.createDataFrame(plan, "unit string, first long, share long, start long, slots array<int>")
+    later = Window.partitionBy("unit").orderBy("first", "start")
     spans = spans.withColumn("end", F.coalesce(F.lead("first").over(later), F.lit(1 << 62))).filter("first < end")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("source", "bucket", "before")
     nth = Window.partitionBy("source", "bucket").orderBy("key", "tie")
     rank = rows.withColumn("nth", F.row_number().over(nth) - 1).join(offsets, ["source", "bucket"]).withColumn("rank", F.col("before") + F.col("nth"))
     rank = rank.withColumns({"block": F.expr(f"rank div {block}"), "place": (F.col("rank") % block).cast("int")})
-    placed = rank.join(F.broadcast(spans), "source").filter("block >= first and block < end")  # spans: SOURCES * (SOURCES + 1) / 2 rows at most
-    k, size = F.col("block") - F.col("first"), max(PERIOD, len(own))
-    slot = F.col("start") + F.expr(f"(block - first) div share * {size}") + F.element_at("slots", ((k % F.col("share")) + 1).cast("int"))
+    if small is None:
+        rank = rank.withColumns({"unit": F.col("source"), "at": F.col("block")})
+    else:
+        rank = rank.join(small, ["source", "block"], "left").withColumns({"unit": F.coalesce("class", "source"), "at": F.coalesce("nth_block", "block")})
+    placed = rank.join(F.broadcast(spans), "unit").filter("at >= first and at < end")  # spans: SOURCES * (SOURCES + 1) / 2 rows at most
+    k, size = F.col("at") - F.col("first"), max(PERIOD, len(own))
+    slot = F.col("start") + F.expr(f"(at - first) div share * {size}") + F.element_at("slots", ((k % F.col("share")) + 1).cast("int"))
     names = added(docs.columns)
     return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.col("block").alias(names[0]), slot.cast("long").alias(names[1]), F.col("place").alias(names[2]))

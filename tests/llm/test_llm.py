@@ -415,6 +415,27 @@ def test_mixing_weights(spark):
     assert order[200:] == ["a"] * 200
 
 
+@pytest.mark.parametrize("weights", [None, {"big": 1000.0, "s1": 2.0, "s2": 1.0}])
+def test_mixing_many_sources(spark, weights):
+    """More sources than the driver schedules one by one: every row has one place, a slot is a block of one source."""
+    assert mixing.LARGE + 2 * mixing.FARTHEST + 1 <= mixing.SOURCES
+    sizes = {"big": 900, **{f"s{i}": 1 + i % 7 for i in range(700)}}
+    rows = [(s, t) for s, n in sizes.items() for t in range(n)]
+    df = spark.createDataFrame([(i, s, f"t{t}") for i, (s, t) in enumerate([*rows, (None, 0)])], "doc_id long, source string, text string")
+    out = mixing.mix_sources(df, weights, block=2).collect()
+    assert sorted(r.doc_id for r in out) == list(range(len(rows) + 1))
+    by = defaultdict(list)
+    for r in out:
+        by[r.slot].append((r.source, r.block, r.place))
+    assert sorted(by) == list(range(sum(-(-n // 2) for n in sizes.values()) + 1))
+    assert all(len({x[:2] for x in v}) == 1 and sorted(x[2] for x in v) == list(range(len(v))) for v in by.values())
+    if not weights:  # while all sources are live, the large one keeps to its share within a block
+        order = [by[t][0][0] for t in sorted(by)]
+        own = {s: n**mixing.TEMPER for s, n in [*sizes.items(), (None, 1)]}
+        share = own["big"] / sum(own.values())
+        assert all(abs(order[:t].count("big") - t * share) < 1.1 for t in range(1, 200))
+
+
 # ------------------------------------------------------------------------------------------------- tables and pipeline
 
 
