@@ -37,7 +37,20 @@ def sidecars(d: Domain):
 def jats(d: Domain):
     xml = F.expr("""concat('<article xmlns:mml="http://www.w3.org/1998/Math/MathML"><front><journal-meta><journal-title>J</journal-title></journal-meta><article-meta><article-id pub-id-type="doi">10.1000/J.', p_partkey, '</article-id><article-id pub-id-type="pmc">', p_partkey, '</article-id><title-group><article-title>', p_name, '</article-title></title-group><contrib-group><contrib contrib-type="author"><name><surname>Smith</surname></name></contrib><contrib contrib-type="author"><name><surname>Doe</surname></name></contrib></contrib-group><pub-date><year>', 1970 + p_size, '</year></pub-date><abstract><p>Effects of ', p_type, ' <xref>[1]</xref>seen.</p></abstract></article-meta></front><body><sec><title>Methods</title><p>x</p><fig/><fig/><table-wrap/></sec></body></article>')""")
     r = d.table("part").select("p_partkey", R.parse_jats(xml).alias("j")).select("p_partkey", "j.*")
-    return r.select("p_partkey", "doi", "pmcid", "title", "year", F.array_join("surnames", "|").alias("surnames"), "abstract", F.array_join("sections", "|").alias("sections"), "n_figures", "n_tables")
+    return r.select("p_partkey", "doi", "pmcid", "title", "year", F.array_join("surnames", "|").alias("surnames"), "abstract", F.array_join("body.sections.title", "|").alias("sections"), F.size("body.figures").alias("n_figures"), F.size("body.tables").alias("n_tables"))
+
+
+@query("s14_x10_x11_jats_body", "SELECT p_partkey, 'Methods' AS titles, 'Heat of ' || p_name || ' is [FORMULA] .' || chr(10) || chr(10) || chr(10) || '## Sub' || chr(10) || p_type AS texts, 'Fig 1: Plot of ' || p_brand || ' (f1.jpg)' AS figure, 'Table 1: Sizes: ' || p_size || ' | b' AS tab, 'inline: no-converter' AS formula FROM part", views=False)
+def jats_body(d: Domain):
+    xml = F.expr("""concat('<article xmlns:mml="http://www.w3.org/1998/Math/MathML" xmlns:xlink="http://www.w3.org/1999/xlink"><body><sec><title>Methods</title><p>Heat of ', p_name, ' <xref>[1]</xref>is <inline-formula><mml:math><mml:mi>x</mml:mi></mml:math></inline-formula>.</p><sec><title>Sub</title><p>', p_type, '</p></sec><fig><label>Fig 1</label><caption><p>Plot of ', p_brand, '</p></caption><graphic xlink:href="f1.jpg"/></fig><table-wrap><label>Table 1</label><caption><p>Sizes</p></caption><table><tr><td>', p_size, '</td><td>b</td></tr></table></table-wrap></sec><sec><title>References</title><p>gone</p></sec></body></article>')""")
+    r = d.table("part").select("p_partkey", R.parse_jats(xml)["body"].alias("b")).select("p_partkey", "b.*")
+    shown = lambda c, f: F.array_join(F.transform(c, f), "|")
+    return r.select(
+        "p_partkey", F.array_join("sections.title", "|").alias("titles"), F.array_join("sections.text", "|").alias("texts"),
+        shown("figures", lambda x: F.concat(x["label"], F.lit(": "), x["caption"], F.lit(" ("), x["graphic_href"], F.lit(")"))).alias("figure"),
+        shown("tables", lambda x: F.concat_ws(": ", x["label"], x["caption"], x["text"])).alias("tab"),
+        shown("formulas", lambda x: F.concat_ws(": ", x["kind"], x["status"])).alias("formula"),
+    )
 
 
 @query("s15_s16_registry", "SELECT n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'parent/x' ELSE n_name || '/x' END AS library, CASE WHEN n_nationkey % 3 = 0 THEN 75 ELSE 90 END AS ris_threshold, n_nationkey % 5 <> 0 AS active FROM nation", views=False)

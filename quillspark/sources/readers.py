@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.doi import extract_doi, normalize_doi
+from . import jats
 
 
 def strings(*names: str) -> T.StructType:
@@ -175,13 +176,19 @@ def parse_any(name: Column, text: Column) -> Column:
     return F.when(ext == "ris", common(parse_ris_harvest(text))).when(ext == "enw", common(parse_enw(text))).when(ext == "nbib", common(parse_nbib(text)))
 
 
-def parse_jats(xml: Column) -> Column:
-    """Fields of a structured paper by XPath that ignores name spaces; cross-references leave no text in the abstract."""
+#: What parse_jats reads of a paper's body, in the sidecar's shapes.
+JATS_BODY = T.StructType([f for f in SIDECAR.fields if f.name in ("sections", "figures", "tables", "formulas", "n_formulas", "text")])
+
+
+def parse_jats(xml: Column, latex: Column | None = None) -> Column:
+    """Fields of a structured paper by XPath that ignores name spaces; cross-references leave no text.  Sections, figures,
+    tables and formulas come with all their text; latex is a map from MathML to a converter's recorded output, without
+    which formulas have the status no-converter."""
     one = lambda p: F.trim(F.regexp_replace(F.xpath_string(xml, F.lit(p)), r"\s+", " "))
     node = lambda n: f"*[local-name()='{n}']"
     surnames = F.xpath(xml, F.lit(f"//{node('contrib')}[@contrib-type='author']//{node('surname')}/text()"))
     pmc = one(f"//{node('article-id')}[@pub-id-type='pmc']")
-    sections = F.xpath(xml, F.lit(f"//{node('body')}/{node('sec')}/{node('title')}/text()"))
+    body = F.udf(jats.body, JATS_BODY)(xml, *([] if latex is None else [latex]))
     return F.struct(
         F.lower(one(f"//{node('article-id')}[@pub-id-type='doi']")).alias("doi"),
         F.when(pmc.rlike("^[0-9]+$"), F.concat(F.lit("PMC"), pmc)).otherwise(pmc).alias("pmcid"),
@@ -190,9 +197,7 @@ def parse_jats(xml: Column) -> Column:
         one(f"//{node('journal-title')}").alias("journal"),
         surnames.alias("surnames"),
         F.trim(F.regexp_replace(F.array_join(F.xpath(xml, F.lit(f"//{node('abstract')}//text()[not(ancestor::{node('xref')})]")), ""), r"\s+", " ")).alias("abstract"),
-        sections.alias("sections"),
-        F.xpath_int(xml, F.lit(f"count(//{node('fig')})")).alias("n_figures"),
-        F.xpath_int(xml, F.lit(f"count(//{node('table-wrap')})")).alias("n_tables"),
+        body.alias("body"),
     )
 
 

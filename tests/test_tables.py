@@ -87,3 +87,22 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(r.doi for r in seen) == ["10.1234/a.0", "10.1234/a.1", "10.1234/a.2"]
     incremental.run_available(stream, lambda df, _: seen.extend(df.collect()), f"file://{tmp_path}/ck")
     assert len(seen) == 3
+
+
+MML = '<math xmlns="http://www.w3.org/1998/Math/MathML"><mi>x</mi></math>'
+PAPER = f"""<article xmlns:mml="http://www.w3.org/1998/Math/MathML"><front><article-meta><article-title>T</article-title><abstract><p>A <xref>1</xref>b</p></abstract></article-meta></front>
+<body><sec><title>One</title><p>See <inline-formula><mml:math><mml:mi>x</mml:mi></mml:math></inline-formula><fig><label>F</label><caption><p>cap <xref>2</xref>tion</p></caption></fig> now</p>
+<list><list-item><p>item</p></list-item></list><disp-formula><label>(1)</label>plain</disp-formula><table-wrap><label>T1</label><table><th>h</th></table></table-wrap></sec><sec><title>References</title><p>gone</p></sec></body></article>"""
+
+
+def test_jats_keeps_the_body(spark):
+    """Texts, captions, cells and formulas, with and without recorded LaTeX; the recorded key is the MathML with its own name space."""
+    df = spark.createDataFrame([(PAPER,)], "xml string")
+    b = df.select(readers.parse_jats(F.col("xml"))["body"].alias("b")).first().b
+    assert [tuple(s) for s in b.sections] == [("One", "See [FORMULA] now\n\n  - item\n\n[FORMULA]")]
+    assert [(f.label, f.caption) for f in b.figures] == [("F", "cap tion")] and [tuple(t) for t in b.tables] == [("T1", "", "h")]
+    assert [(f.kind, f.label, f.latex, f.status) for f in b.formulas] == [("display", "(1)", "", "no-converter"), ("inline", "", "", "no-converter")]
+    assert b.n_formulas == 2 and b.text.startswith("# T\n\n## Abstract\n\nA b\n\n## One\n\nSee [FORMULA] now")
+    b = df.select(readers.parse_jats(F.col("xml"), F.create_map(F.lit(MML), F.lit("{T r e c}")))["body"].alias("b")).first().b
+    assert [(f.latex, f.status) for f in b.formulas] == [("", "no-mathml"), ("{Trec}", "ok")]
+    assert b.sections[0].text.startswith("See ${Trec}$ now")
