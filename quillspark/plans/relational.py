@@ -338,9 +338,15 @@ def reach(d: Domain):
     return citations.reach(citations.edges(d.candidates), seeds, 2)
 
 
+@query("g04_reach_all", ", hop AS (SELECT DISTINCT citing_doi, cited_doi FROM all_edges), d0 AS (SELECT DISTINCT doi FROM paper_locations WHERE project = 'ASIA'), d1 AS (SELECT DISTINCT cited_doi AS doi FROM hop WHERE citing_doi IN (SELECT doi FROM d0)), d2 AS (SELECT DISTINCT cited_doi AS doi FROM hop WHERE citing_doi IN (SELECT doi FROM d1 WHERE doi NOT IN (SELECT doi FROM d0))) SELECT doi, min(distance) AS distance FROM (SELECT doi, 0 AS distance FROM d0 UNION ALL SELECT doi, 1 FROM d1 UNION ALL SELECT doi, 2 FROM d2) GROUP BY doi")
+def reach_all(d: Domain):
+    """From all papers of the project."""
+    return citations.reach(citations.edges(d.candidates), d.locations.filter("project = 'ASIA'"), 2)
+
+
 @query("g06_pagerank")
 def pagerank(d: Domain):
-    return citations.pagerank(citations.edges(d.candidates.filter("source_project = 'EUROPE'")), 5)
+    return citations.pagerank(citations.edges(d.candidates), 5)
 
 
 @query("g07_centroid", ", q AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), c AS (SELECT i, avg(x) AS m FROM q WHERE vec_id < 5 GROUP BY i) SELECT vec_id, round(sum(x * m) / sqrt(sum(x * x) * sum(m * m)), 6) AS likeness FROM q JOIN c USING (i) GROUP BY vec_id ORDER BY likeness DESC, vec_id LIMIT 50")

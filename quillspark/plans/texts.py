@@ -66,6 +66,14 @@ def parse_references(d: Domain):
     return rows.select("doc_id", (F.col("at") + 1).cast("long").alias("i"), X.parse_reference(F.col("raw")).alias("p")).select("doc_id", "i", "p.first_author", "p.year", "p.title_snippet", "p.doi")
 
 
+@query("x07_parse_references_all", "SELECT doc_id, i, 'Smith' AS first_author, CAST(1990 + i AS VARCHAR) AS year, 'A long title number ' || i AS title_snippet, '10.1234/ab.' || doc_id || i AS doi FROM (SELECT doc_id, unnest(range(1, CAST(5 + doc_id % 5 AS BIGINT))) AS i FROM documents WHERE doc_id % 5 > 0) UNION ALL SELECT doc_id, 1, '', '1991', 'A long title number 1', '10.1234/ab.' || doc_id || '1' FROM documents WHERE doc_id % 5 = 0", views=False)
+def parse_all_references(d: Domain):
+    """Of all documents: the four references of every fifth are too few for a rule and stay one part, of which the first is read."""
+    parts = X.split_references(F.concat(F.lit("\n"), X.locate_references(F.expr(REFS))))
+    rows = d.table("documents").select("doc_id", F.posexplode(parts).alias("at", "raw"))
+    return rows.select("doc_id", (F.col("at") + 1).cast("long").alias("i"), X.parse_reference(F.col("raw")).alias("p")).select("doc_id", "i", "p.first_author", "p.year", "p.title_snippet", "p.doi")
+
+
 @query("x09_math_status", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'skipped_pdf_extractor_no_eqn_support_but_xml_sibling_available' WHEN doc_id % 3 = 1 THEN 'skipped_no_math_indicators' ELSE 'skipped_pdf_extractor_no_eqn_support' END AS status, CASE WHEN doc_id % 3 = 2 THEN 'latex_cmd,equation_label' ELSE '' END AS indicators FROM documents", views=False)
 def math(d: Domain):
     text = F.when(F.expr("doc_id % 3 = 2"), F.concat(F.lit("as in \\frac{a}{b}, see Eq. (3) "), "lang")).otherwise(F.col("lang"))
