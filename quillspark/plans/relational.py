@@ -190,9 +190,9 @@ def markdown_dedup(d: Domain):
 @query("j11_suffix_match", "SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY length(k) DESC, k) AS n FROM (SELECT doc_id, 'download_' || lang || '_' || source || '_final' AS stem FROM documents) JOIN (SELECT DISTINCT source AS k FROM documents UNION SELECT DISTINCT lang || '_' || source FROM documents) ON contains(stem, k) AND length(k) >= 6) WHERE n = 1")
 def suffix_match(d: Domain):
     docs = d.table("documents")
-    keys = docs.select(F.col("source").alias("k")).union(docs.select(F.concat_ws("_", "lang", "source"))).distinct().filter(F.length("k") >= 6).orderBy("k").limit(5_000)
+    keys = docs.select(F.col("source").alias("k")).union(docs.select(F.concat("lang", F.lit("_"), "source"))).distinct()
     stems = docs.select("doc_id", F.concat(F.lit("download_"), "lang", F.lit("_"), "source", F.lit("_final")).alias("stem"))
-    return tables.longest_match(stems, keys, F.col("stem").contains(F.col("k")), ["doc_id"], F.length("k"), ["k"]).select("doc_id", "k")
+    return tables.longest_inside(stems, "stem", keys, "k", 6).select("doc_id", "k")
 
 
 @query("j12_prefix_route", "SELECT doc_id, name FROM (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY length(name) DESC, name) AS n FROM (SELECT doc_id, lower(source || '_' || lang || '_paper') AS stem FROM documents) JOIN (SELECT 'src1' AS name UNION SELECT 'src1_en' UNION SELECT 'src2' UNION SELECT 'src2_de') ON starts_with(stem, name || '_')) WHERE n = 1")

@@ -106,3 +106,13 @@ def test_jats_keeps_the_body(spark):
     b = df.select(readers.parse_jats(F.col("xml"), F.create_map(F.lit(MML), F.lit("{T r e c}")))["body"].alias("b")).first().b
     assert [(f.latex, f.status) for f in b.formulas] == [("", "no-mathml"), ("{Trec}", "ok")]
     assert b.sections[0].text.startswith("See ${Trec}$ now")
+
+
+def test_suffix_match_has_all_keys(spark, tmp_path):
+    """More keys than a registry may have that is broadcast: the last ones in order match too."""
+    from quillspark.plans.catalog import QUERIES
+
+    rows = [(i, "zz" if i % 2 else None, f"site{i:05}" if i % 3 else f"s{i}") for i in range(9000)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.k for r in QUERIES["j11_suffix_match"](spark, str(tmp_path)).collect()}
+    assert got == {i: f"zz_{s}" for i, lang, s in rows if lang and len(f"zz_{s}") >= 6}
