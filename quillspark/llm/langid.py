@@ -3,15 +3,18 @@
 One Bloom filter per language, bit-sliced: slot i of the table holds a bit for each language, so the AND of an
 n-gram's HASHES slots is the set of all languages that (perhaps) contain it.  A text's count for a language is the
 popcount of its bit over the n-grams of the text; what the fill of that language's slice lets through by chance
-is taken off: (hits - f * n) / (1 - f), f = fill ** HASHES.  The largest corrected count decides.
+is taken off: (hits - f * n) / (1 - f), f = fill ** HASHES.  The largest corrected count decides.  Any number of
+languages is learned: the masks are 64 bits wide, and there is a table for each 64 languages.
 
 N-grams are runs of GRAM bytes (and SHORT bytes, for texts with few) of the lower-cased text with every byte run that is no letter made one space, over the whole
-text.  The filters are learned from PER_LANGUAGE documents of each language at most (those of least hash), an n-gram
-counting if LEAST documents of the language hold it; ties fall to the language first in code-point order.
-
-Cases: a null text or one without a letter is `und` with score 0, as is a text none of whose n-grams any language
-has; null lang is never learned; without any row to learn from all texts are `und`; repeated rows are predicted alike;
-an empty table gives an empty result; other columns are ignored.
+text.  A filter is learned where its language's rows are, from PER_LANGUAGE documents of the language at most (of those
+whose hash is below the share that gives SPARE times as many), an n-gram counting if LEAST documents of the language hold it; only
+the filters, SLOTS bits a language, come to the driver.  Ties fall to the language first in code-point order.
+
+Cases: a null text or one without a letter is `und` with score 0; a text with letters none of whose n-grams any language
+has goes to the first language with score 0; null lang is never learned; without any row to learn from all texts are
+`und`; repeated rows are learned as often as they occur and predicted alike; a very long text is read whole, in a slice of
+its own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,12 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import MIX_A, MIX_B, U64, buffers, mix, slices
+from .common import MIX_A, MIX_B, SLICE_BYTES, U64, buffers, mix, slices
 
 GRAM, SHORT, HASHES, SLOTS = 5, 3, 2, 1 << 21
 #: Texts with fewer n-grams than this are judged by those of SHORT bytes too.
 FEW = 64
-PER_LANGUAGE, LEAST, LANGUAGES = 600, 2, 64
+PER_LANGUAGE, LEAST, SPARE, WIDTH = 600, 2, 1.25, 64
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LETTER = np.zeros(256, dtype=bool)
@@ -71,25 +74,41 @@ def slots_of(key: np.ndarray) -> list[np.ndarray]:
     return [((key * (MIX_B + U64(2 * j))) >> U64(43)).astype(np.int64) % SLOTS for j in range(HASHES)]
 
 
+def language_bits(texts: list[bytes]) -> np.ndarray:
+    """The slots that a language's documents fill, as packed bits."""
+    off, seen, out = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), {GRAM: [], SHORT: []}, np.zeros(SLOTS, bool)
+    raw, at = np.frombuffer(b"".join(texts), np.uint8), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(off, off[at] + SLICE_BYTES, side="right")) - 1)
+        for size, keys in seen.items():
+            key, doc = grams(raw[off[at] : off[to]], off[at : to + 1] - off[at], size)
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+            keys.append(np.unique(key[new], return_counts=True))
+        at = to
+    for keys in seen.values():
+        own, place = np.unique(np.concatenate([k for k, _ in keys]), return_inverse=True)
+        count = np.bincount(place, weights=np.concatenate([c for _, c in keys]), minlength=len(own))
+        for slot in slots_of(own[count >= min(LEAST, len(texts))]):
+            out[slot] = True
+    return np.packbits(out)
+
+
 class Filters:
-    def __init__(self, languages: list[str], learned: dict[str, list[str]]):
-        self.languages = languages
-        width = np.uint8 if len(languages) <= 8 else np.uint64
-        self.table = np.zeros(SLOTS, width)
-        for bit, language in enumerate(languages):
-            texts = [t.encode() for t in learned[language]]
-            off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-            for size in (GRAM, SHORT):
-                key, doc = grams(np.frombuffer(b"".join(texts), np.uint8), off, size)
-                order = np.lexsort((doc, key))
-                key, doc = key[order], doc[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                own, seen = np.unique(key[new], return_counts=True)
-                for at in slots_of(own[seen >= min(LEAST, len(texts))]):
-                    self.table[at] |= width(1 << bit)
-        fill = np.array([np.count_nonzero(self.table & width(1 << b)) / SLOTS for b in range(len(languages))])
-        self.chance = fill**HASHES
+    def __init__(self, learned: dict[str, np.ndarray]):
+        """learned: the packed bits of each language's slots."""
+        self.languages, self.tables, self.chance = sorted(learned), [], np.zeros(len(learned))
+        for first in range(0, len(learned), WIDTH):
+            some = self.languages[first : first + WIDTH]
+            kind = np.uint8 if len(some) <= 8 else np.uint64
+            table = np.zeros(SLOTS, kind)
+            for bit, language in enumerate(some):
+                filled = np.unpackbits(np.frombuffer(learned[language], np.uint8), count=SLOTS)
+                self.chance[first + bit] = (filled.sum() / SLOTS) ** HASHES
+                table |= filled.astype(kind) << kind(bit)
+            self.tables.append(table)
 
     def scores(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Share of each language in the corrected counts of each text."""
@@ -100,14 +119,14 @@ class Filters:
             part = np.repeat(few, np.diff(off))
             key3, doc3 = grams(raw[part], np.concatenate([[0], np.cumsum(np.where(few, np.diff(off), 0))]), SHORT)
             key, doc = np.concatenate([key, key3]), np.concatenate([doc, doc3])
-        mask = np.full(len(key), ~self.table.dtype.type(0))
-        for at in slots_of(key):
-            mask &= self.table[at]
-        total = np.bincount(doc, minlength=n).astype(float)
-        counts = np.zeros((n, size))
-        for b in range(size):
-            hits = np.bincount(doc[(mask >> mask.dtype.type(b)) & mask.dtype.type(1) == 1], minlength=n)
-            counts[:, b] = np.maximum(0.0, (hits - self.chance[b] * total) / max(1e-9, 1 - self.chance[b]))
+        slots, total, counts = slots_of(key), np.bincount(doc, minlength=n).astype(float), np.zeros((n, size))
+        for t, table in enumerate(self.tables):
+            mask = np.full(len(key), ~table.dtype.type(0))
+            for at in slots:
+                mask &= table[at]
+            for b in range(t * WIDTH, min(size, (t + 1) * WIDTH)):
+                hits = np.bincount(doc[(mask >> table.dtype.type(b - t * WIDTH)) & table.dtype.type(1) == 1], minlength=n)
+                counts[:, b] = np.maximum(0.0, (hits - self.chance[b] * total) / max(1e-9, 1 - self.chance[b]))
         return counts / np.maximum(1e-12, counts.sum(axis=1, keepdims=True))
 
 
@@ -136,23 +155,21 @@ def fold(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def _learned(t: pa.Table) -> pa.Table:
+    bits = language_bits([x.encode() for x in t.column("text").to_pylist()])
+    return pa.table({"lang": t.column("lang").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Filters:
-    """Filters of all languages, from a bounded sample of the rows where learn holds."""
-    known = docs.filter(learn & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).limit(per_language * LANGUAGES).collect()
-    languages = sorted({r["lang"] for r in ids})
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    spark = docs.sparkSession
-    if not ids:
-        return Filters([], {})
-    chosen = spark.createDataFrame([(r["doc_id"],) for r in ids], "doc_id long").distinct()
-    rows = known.filter(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "lang", "text").collect()
-    learned: dict[str, list[str]] = {name: [] for name in languages}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        learned[r["lang"]].append(r["text"])
-    return Filters(languages, learned)
+    """Filters of all languages, from a bounded sample of each one's rows where learn holds."""
+    known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", F.xxhash64("doc_id", F.lit(41)).alias("h"))
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    below = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) < F.lit(SPARE * per_language) / F.col("n")
+    order = Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))
+    chosen = known.join(sizes, "lang").filter(below).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
+    rows = chosen.select("lang", "text").groupBy("lang").applyInArrow(_learned, "lang string, bits binary").collect()
+    return Filters({r["lang"]: np.frombuffer(r["bits"], np.uint8) for r in rows})
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
