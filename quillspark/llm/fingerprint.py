@@ -1,6 +1,7 @@
 """Document fingerprints by locally consistent parsing.
 
-Level 0 is the code points of a text.  On each level runs of one name become a single name; deterministic coin tossing
+Level 0 is the code points of a text.  On each level runs of one name become a single name that has the run's length
+too (on level 0 exactly, above as a hash of 64 bits); deterministic coin tossing
 then gives each name a small label, from its own and the preceding names only: the lowest bit in which it
 differs from the one before it, and that bit's value; done thrice, few labels are left and neighbours
 still differ.  A phrase begins at each local maximum of the labels, and the next level has one name for each
@@ -13,7 +14,8 @@ union that both have.  A text too short for a phrase is one phrase.
 
 Cases: null is the empty text, whose fingerprint is empty; two empty fingerprints have likeness 1, an empty one and
 another 0; rows with one doc_id follow each other in the order of their texts' hashes; a single document is its own
-next; an empty table gives an empty result; a row without doc_id comes first; other columns are ignored.
+next; a very long text is parsed whole, in a batch of its own; an empty table gives an empty result; a row without doc_id comes first; other columns are ignored.
+A fingerprint depends on its text alone, whatever texts are parsed in the same batch.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ from pyspark.sql import functions as F
 from .common import GOLDEN, MIX_A, U64, mix, parallelism
 
 SIZE, LEVELS, FIRST = 64, 3, 2
+#: Bits of a code point, and the longest run whose length fits above them in a name of 32 bits.
+POINT_BITS, MOST_SHORT = 21, 1 << 11
+#: Bytes of text in a range of doc_id, about; there are twice as many ranges as shuffle partitions at least.
+RANGE_BYTES = 128 << 20
 #: Least names of the phrases of level FIRST to FIRST + LEVELS - 1 (level 1 phrases have two to five code points).
 LOWEST = np.zeros(1 << 16, np.uint8)
 for _bit in range(15, -1, -1):
@@ -77,12 +83,13 @@ def parse(names: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(start) < len(names):  # a run and its length are one name
         run = np.diff(np.append(start, len(names)))
         off = np.searchsorted(start, off)
-        names = names[start]
-        long = np.flatnonzero(run > 1)
-        names[long] = mix(names[long].astype(np.uint64) ^ run[long].astype(np.uint64) * GOLDEN).astype(names.dtype)
-        same = long[(long > 0)]  # what a run has become must differ from its neighbours
-        clash = same[names[same] == names[same - 1]]
-        names[clash] ^= names.dtype.type(1)
+        points, names = names.dtype == np.uint32, names[start]
+        if points:  # above the code point's bits: neighbours differ as their code points do
+            names = names.astype(np.uint64) if int(run.max()) > MOST_SHORT else names
+            names = names | (run - 1).astype(names.dtype) << names.dtype.type(POINT_BITS)
+        else:
+            long = np.flatnonzero(run > 1)
+            names[long] = mix(names[long] ^ run[long].astype(np.uint64) * GOLDEN)
     n, first = len(names), off[:-1][np.diff(off) > 0]
     label = toss(names, first)
     begin = np.zeros(n, bool)
@@ -209,11 +216,11 @@ def edited_fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = parallelism(spark) * 2
     # bounds of ranges of about equal size; what the driver holds is a few numbers for each range
-    ids = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    if not ids[2]:
+    ids = rows.agg(F.min("doc_id"), F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    if not ids[1]:
         return rows.select("doc_id").mapInArrow(lambda it: iter(()), SCHEMA)
+    parts = max(parallelism(spark) * 2, -(-ids[2] // RANGE_BYTES))
     cuts = rows.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if ids[0] is not None else []
     cuts = sorted({int(c) for c in cuts})
     ranged = rows.withColumn("part", _range_of(F.col("doc_id"), cuts))
