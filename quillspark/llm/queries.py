@@ -51,7 +51,7 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"), mixing.TARGETS)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
