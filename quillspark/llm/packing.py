@@ -1,14 +1,17 @@
 """Packing by vector bin packing: the dot-product heuristic under limits on tokens, segments and loss-bearing tokens.
 
-Each task packs its own rows, so nothing is shuffled; it holds the sequence it fills and POOL waiting examples at
-most.  Of the waiting examples that fit all three limits, that with the largest dot product of its demands and what is
-left of the sequence goes in, each dimension weighed by its mean demand.  If none fits, the largest is cut so that its
-head fills the sequence to the last token and its tail goes on waiting.  Examples longer than a sequence are cut into
-whole sequences first.  The last tokens of a task go into sequences of the powers of two they sum to, which need no
-padding.
+Each task packs its own rows, so nothing is shuffled; it holds the sequence it fills and POOL waiting examples of
+POOL_TOKENS tokens at most (or one longer).  Of the waiting examples that fit all three limits, that with the largest dot product of its demands and what is
+left of the sequence goes in, each dimension weighed by its mean demand.  If none fits, the one whose head fills most of what is left
+is cut, and its tail goes on waiting.  A sequence that the limits on segments or loss close before it is full ends at the
+largest power of two, where no padding is needed, and what is behind that goes on waiting.  The last tokens of a task go into sequences of the powers of two they sum to.
+
+An example's prompt are its leading tokens, which bear no loss.  Where documents are packed as they are
+(`prompted`), the first line of a text of several lines is its prompt: a title that the rest is predicted from.
 
 Cases: a null or empty text has the end id alone; rows are packed one by one, so repeated rows and ties change nothing
-(the earliest waiting example wins a tie); a null id or null loss share is kept as null or taken as all tokens; an
+(the earliest waiting example wins a tie); a null id or null loss share is kept as null or taken as all tokens; a very
+long text is cut into as many sequences as it takes; an
 empty table gives no pieces; other columns are ignored.
 """
 
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import IS_SPACE, buffers, slices, span_hash, word_spans
 
-LENGTH, SEGMENTS, END = 4096, 256, 2
-POOL, VOCABULARY = 512, 600_000
+LENGTH, SEGMENTS, LOSS, END = 4096, 16, 3968, 2
+POOL, POOL_TOKENS, VOCABULARY = 512, 1 << 20, 600_000
 MARK = "\x01"
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
@@ -111,7 +114,7 @@ class Packer:
         self.limit = np.array([length, segments, loss], np.float64)
         self.wait: list[list] = []  # [id, ids, start, loss-bearing from, tokens of the example]
         self.need = np.zeros((0, 3))
-        self.sum, self.seen = np.zeros(3), 0
+        self.sum, self.seen, self.waiting = np.zeros(3), 0, 0
         self.next, self.rows = first, []
         self.open()
 
@@ -119,13 +122,24 @@ class Packer:
         self.left, self.parts = self.limit.copy(), []
 
     def close(self) -> None:
-        at = 0
-        for doc, ids, start, _, total in self.parts:
-            self.rows.append((doc, start, len(ids), ids.astype("<u4").tobytes(), total, self.next, at))
-            at += len(ids)
+        """Writes the open sequence; unless it is full it ends at a power of two, and the rest waits again."""
+        n = sum(len(p[1]) for p in self.parts)
+        size, at = n if n == self.limit[0] else 1 << (n.bit_length() - 1), 0
+        for doc, ids, start, loss_from, total in self.parts:
+            own = min(len(ids), size - at)
+            if own:
+                self.rows.append((doc, start, own, ids[:own].astype("<u4").tobytes(), total, self.next, at))
+                at += own
+            if own < len(ids):
+                self.hold([doc, ids[own:], start + own, loss_from, total])
         self.next += 1
         self.open()
 
+    def hold(self, example: list) -> None:
+        self.wait.append(example)
+        self.need = np.vstack([self.need, np.array(self.demand(example), np.float64)])
+        self.waiting += len(example[1])
+
     @staticmethod
     def demand(example: list) -> tuple[int, int, int]:
         n = len(example[1])
@@ -139,15 +153,14 @@ class Packer:
                 self.next += 1
                 start += length
         if start < total:
-            self.wait.append([doc, ids[start:], start, loss_from, total])
-            d = np.array(self.demand(self.wait[-1]), np.float64)
-            self.need = np.vstack([self.need, d])
-            self.sum, self.seen = self.sum + d, self.seen + 1
-        while len(self.wait) >= POOL:
+            self.hold([doc, ids[start:], start, loss_from, total])
+            self.sum, self.seen = self.sum + self.need[-1], self.seen + 1
+        while len(self.wait) >= POOL or (self.waiting > POOL_TOKENS and len(self.wait) > 1):
             self.step()
 
     def take(self, i: int) -> list:
         self.need = np.delete(self.need, i, axis=0)
+        self.waiting -= len(self.wait[i][1])
         return self.wait.pop(i)
 
     def step(self) -> None:
@@ -158,22 +171,22 @@ class Packer:
             i = int(np.argmax(np.where(fits, self.need @ weight, -1.0)))
             self.left = self.left - self.need[i]
             self.parts.append(self.take(i))
-        elif self.left[0] >= 1 and self.left[1] >= 1:
-            i = int(np.argmax(self.need[:, 0]))
-            doc, ids, start, loss_from, total = self.wait[i]
-            free = max(0, loss_from - start)
-            n = int(min(self.left[0], len(ids), free + self.left[2]))
+        else:
+            tokens, free = self.need[:, 0], self.need[:, 0] - self.need[:, 2]
+            head = np.minimum(np.minimum(tokens, self.left[0]), free + self.left[2])
+            i = int(np.argmax(head + tokens / (1 + tokens.max())))
+            n = int(head[i]) if self.left[1] >= 1 else 0
             if n < 1:
                 return self.close()
+            doc, ids, start, loss_from, total = self.wait[i]
             self.parts.append([doc, ids[:n], start, loss_from, total])
             self.left = self.left - np.array(self.demand(self.parts[-1]), np.float64)
             if n < len(ids):
                 self.wait[i] = [doc, ids[n:], start + n, loss_from, total]
                 self.need[i] = self.demand(self.wait[i])
+                self.waiting -= n
             else:
                 self.take(i)
-        else:
-            return self.close()
         if self.left[0] < 1 or self.left[1] < 1:
             self.close()
         return None
@@ -181,18 +194,9 @@ class Packer:
     def finish(self) -> None:
         while self.wait:
             self.step()
-        parts, n = self.parts, sum(len(p[1]) for p in self.parts)
-        while n:  # the largest power of two first
-            size = 1 << (n.bit_length() - 1)
-            n -= size
-            self.open()
-            while size:
-                doc, ids, start, loss_from, total = parts.pop(0)
-                self.parts.append([doc, ids[:size], start, loss_from, total])
-                if len(ids) > size:
-                    parts.insert(0, [doc, ids[size:], start + size, loss_from, total])
-                size -= len(self.parts[-1][1])
+        while self.parts:  # the largest power of two first
             self.close()
+            self.parts, self.wait, self.need, self.waiting = self.wait, [], np.zeros((0, 3)), 0
 
     def drain(self):
         rows, self.rows = self.rows, []
@@ -212,6 +216,13 @@ def _pack(batches, path: str, end: int, length: int, segments: int, loss: int):
     yield from packer.drain()
 
 
+def prompted(docs: DataFrame) -> DataFrame:
+    """doc_id, text and prompt_share: the share of the first line in a text of several lines, none in others."""
+    first = F.instr("text", "\n")
+    share = F.when(first.between(1, F.length("text") - 1), first / F.length("text")).otherwise(0.0)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("prompt_share", share)
+
+
 def pack_examples(docs: DataFrame, length: int = LENGTH, segments: int = SEGMENTS, loss: int | None = None, prompt_share: str | None = None, tokenizer: str | None = None, end: int = END) -> DataFrame:
     """Pieces of examples with their place: doc_id, start, length, ids (little-endian unsigned 32 bits), doc_tokens, sequence_id, offset.
 

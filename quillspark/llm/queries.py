@@ -41,7 +41,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_examples(table(spark, sf_dir, "documents"))
+    pieces = packing.pack_examples(packing.prompted(table(spark, sf_dir, "documents")), loss=packing.LOSS, prompt_share="prompt_share")
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -2,13 +2,14 @@
 
 import random
 import string
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quillspark.llm import fingerprint, hostrules, langid, mixing
+from quillspark.llm import fingerprint, hostrules, langid, mixing, packing
 from quillspark.llm.queries import QUERIES
 
 # --------------------------------------------------------------------------------------------------------- language
@@ -216,3 +217,54 @@ def test_mixing_is_earliest_deadline_first(spark):
             had[s], done[s], left[s], t = had[s] + 1, done[s] + 1, left[s] - 1, t + 1
         left = {s: n for s, n in left.items() if n}
     assert got == want
+
+
+# ---------------------------------------------------------------------------------------------------------- packing
+
+
+def padding(lengths):
+    return sum(0 if n & (n - 1) == 0 else 4096 - n for n in lengths)
+
+
+def test_packing_keeps_all_limits():
+    """Tokens, segments and loss-bearing tokens of each sequence, each token once, and nothing padded."""
+    rng = np.random.default_rng(8)
+    for length, segments, loss in ((128, 5, 100), (128, 3, 128), (64, 64, 20)):
+        p, sizes, free = packing.Packer(length, segments, loss, 0), {}, {}
+        for i in range(400):
+            n = int(rng.integers(1, 400 if i % 9 == 0 else 30))
+            sizes[i], free[i] = n, int(n * rng.random())
+            p.add(i, np.arange(n, dtype=np.uint32), free[i])
+        p.finish()
+        by, got = defaultdict(list), defaultdict(list)
+        for doc, start, n, ids, total, sequence, at in p.rows:
+            assert np.frombuffer(ids, "<u4").tolist() == list(range(start, start + n)) and total == sizes[doc]
+            by[sequence].append((at, n, n - min(n, max(0, free[doc] - start))))
+            got[doc] += range(start, start + n)
+        assert all(sorted(got[i]) == list(range(n)) for i, n in sizes.items())
+        for parts in by.values():
+            parts.sort()
+            assert [x[0] for x in parts] == [sum(y[1] for y in parts[:k]) for k in range(len(parts))]
+            size = sum(x[1] for x in parts)
+            assert size <= length and len(parts) <= segments and sum(x[2] for x in parts) <= loss
+            assert size == length or size & (size - 1) == 0
+
+
+def test_short_texts_are_not_padded(spark):
+    df = spark.createDataFrame([(i, "hi there") for i in range(3000)], "doc_id long, text string")
+    rows = packing.pack_examples(df).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
+    assert sum(r.n for r in rows) == 9000 and padding(r.n for r in rows) == 0
+
+
+def test_packing_query(spark):
+    """The limits bind on documents; the digests are those of the ids."""
+    rows = QUERIES["op7_packing"](spark, SF).collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pieces = packing.pack_examples(packing.prompted(docs), loss=packing.LOSS, prompt_share="prompt_share").collect()
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens, r.sequence_id, r.offset) for r in rows) == sorted((r.doc_id, r.start, r.length, zlib.crc32(r.ids), r.doc_tokens, r.sequence_id, r.offset) for r in pieces)
+    size, segments = Counter(), Counter()
+    for r in rows:
+        size[r.sequence_id] += r.length
+        segments[r.sequence_id] += 1
+    assert padding(size.values()) == 0 and max(segments.values()) <= packing.SEGMENTS
+    assert any(n == packing.LENGTH for n in size.values())
