@@ -169,6 +169,8 @@ def test_language_awkward(docs, awkward):
 
 def test_quality(spark):
     rows = QUERIES["op6_quality"](spark, "/root/testdata/sf0.1").filter("held_out").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").collect()
+    bad = [r for r in rows if r.quality == 0]
+    assert sum(not r.predicted for r in bad) / len(bad) > 0.95
     assert sum(r.predicted == r.quality for r in rows) / len(rows) > 0.97
     good = [r for r in rows if r.quality == 1]
     assert sum(r.predicted for r in good) / len(good) > 0.99

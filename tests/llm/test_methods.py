@@ -9,7 +9,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quillspark.llm import fingerprint, hostrules, langid, mixing, packing
+from quillspark.llm import fingerprint, hostrules, langid, mixing, packing, quality
+from quillspark.llm.common import Words
 from quillspark.llm.queries import QUERIES
 
 # --------------------------------------------------------------------------------------------------------- language
@@ -268,3 +269,35 @@ def test_packing_query(spark):
         segments[r.sequence_id] += 1
     assert padding(size.values()) == 0 and max(segments.values()) <= packing.SEGMENTS
     assert any(n == packing.LENGTH for n in size.values())
+
+
+# ------------------------------------------------------------------------------------------------------- classifier
+
+
+def test_character_grams_stay_inside_words():
+    """The n-grams of whole characters inside words with border marks, of each text its own, against plain code."""
+    texts = ["", "  ", "ab", "é 𝄞x\n\tabc ", "a  b", "x" * 9, " lead", "trail "]
+    data = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in data])]).astype(np.int64)
+    points, own = quality.characters(np.frombuffer(b"".join(data), np.uint8), off)
+    got = defaultdict(str)
+    for c, d in zip(points.tolist(), own.tolist(), strict=True):
+        got[d] += chr(c)
+    for i, t in enumerate(texts):
+        assert got[i].split() == t.split()
+    kinds = list(quality.features(Words(np.frombuffer(b"".join(data), np.uint8), off)))
+    for i, t in enumerate(texts):
+        words = t.split()
+        want = [len(words), max(0, len(words) - 1)] + [sum(max(0, len(w) + 2 - k + 1) for w in words) for k in quality.GRAMS]
+        assert [int((doc == i).sum()) for _, doc in kinds] == want
+
+
+def test_scores_do_not_depend_on_the_batch():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta!!", "delta!!"]) for _ in range(rng.randint(0, 40))) for _ in range(80)]
+    model = quality.Model.fit(texts, [int("!!" not in t) for t in texts])
+    data = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in data])]).astype(np.int64)
+    both = model.scores(np.frombuffer(b"".join(data), np.uint8), off)
+    alone = [model.scores(np.frombuffer(d, np.uint8), np.array([0, len(d)]))[0] for d in data]
+    assert np.allclose(both, alone, atol=1e-5)
