@@ -5,7 +5,7 @@ each kind (addresses spelt with at and dot, numbers without a plus, cards with o
 addresses).  A candidate's format and context are turned into FEATURES; boosted trees, fitted by numpy and written out as one
 SQL expression, score it; a threshold for each kind, calibrated on examples the trees have not seen, selects.
 Base spans that pass their checks always stay; an added span overlaps no base span, and of added ones that overlap each
-other the best stays (ties: the earlier, then the longer).
+other the best stays, then the best of those that overlap none that stays (ties: the earlier, then the longer).
 
 The trees learn from EXAMPLES sentences made by a seeded rule, so the same spans are chosen whatever the corpus or its size.
 Fitting sees their features only, through the same SQL.  No row leaves its task: there is no shuffle, join or
@@ -54,6 +54,14 @@ TOLD = r"(?i)(?:phone|call|tel|fax|mobile|dial|reach|mail|contact|write|card|vis
 DENIED = r"(?i)(?:date|on|version|isbn|order|page|pages|vol|no|id|from|between|score|price|invoice|years?|section|time)\W*+(?:\w+\W+){0,1}$"
 
 
+#: SQL: of the added spans _z, best first, each stays if it overlaps none that stays already; most texts have no overlap at all.
+_BEST = "array_sort(_z, (a, b) -> CASE WHEN a.z > b.z THEN -1 WHEN a.z < b.z THEN 1 WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 WHEN a.e > b.e THEN -1 WHEN a.e < b.e THEN 1 WHEN a.kind < b.kind THEN -1 WHEN a.kind > b.kind THEN 1 ELSE 0 END)"
+_STAYS = f"aggregate({_BEST}, filter(_z, x -> false), (a, x) -> IF(exists(a, y -> y.s < x.e AND x.s < y.e), a, concat(a, array(x))))"
+_ORDER = "array_sort(transform(_z, x -> struct(x.s AS s, x.e AS e)))"
+_SOME = f"aggregate({_ORDER}, struct(-1 AS at, false AS hit), (a, x) -> struct(greatest(a.at, x.e) AS at, a.hit OR x.s < a.at AS hit), a -> a.hit)"
+KEPT = f"IF({_SOME}, {_STAYS}, _z)"
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -269,8 +277,7 @@ def find_personal_data(docs: DataFrame, model: Model | None = None, keep: tuple[
     rows = with_candidates(with_base(rows))
     rows = rows.withColumn("_z", F.expr(f"transform(_found, x -> struct(x.kind AS kind, x.s AS s, x.e AS e, CAST({model.sql} AS DOUBLE) AS z))"))
     rows = rows.withColumn("_z", F.expr(f"filter(_z, x -> {model.selected})"))
-    better = "y.z > x.z OR (y.z = x.z AND (y.s < x.s OR (y.s = x.s AND y.e > x.e) OR (y.s = x.s AND y.e = x.e AND y.kind < x.kind)))"
-    rows = rows.withColumn("_z", F.expr(f"filter(_z, x -> NOT exists(_z, y -> y.s < x.e AND x.s < y.e AND ({better})))"))
+    rows = rows.withColumn("_z", F.expr(KEPT))
     kinds = [f"array_sort(concat(_{k}, transform(filter(_z, x -> x.kind = '{k}'), x -> struct(x.kind AS kind, x.s AS s, x.e AS e))), (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 WHEN a.e < b.e THEN -1 WHEN a.e > b.e THEN 1 ELSE 0 END)" for k in KINDS]
     return rows.withColumn("spans", F.expr(f"concat({', '.join(kinds)})")).withColumn("base", F.col("_base")).select(*keep, "_t", *[f"_{k}" for k in KINDS], "base", "spans")
 

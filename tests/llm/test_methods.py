@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quillspark.llm import fingerprint, hostrules, langid, mixing, packing, quality
+from quillspark.llm import fingerprint, hostrules, langid, mixing, packing, pii, quality
 from quillspark.llm.common import Words
 from quillspark.llm.queries import QUERIES
 
@@ -301,3 +301,28 @@ def test_scores_do_not_depend_on_the_batch():
     both = model.scores(np.frombuffer(b"".join(data), np.uint8), off)
     alone = [model.scores(np.frombuffer(d, np.uint8), np.array([0, len(d)]))[0] for d in data]
     assert np.allclose(both, alone, atol=1e-5)
+
+
+# ---------------------------------------------------------------------------------------------------- personal data
+
+
+def test_overlap_chain(spark):
+    """Of a chain in which only neighbours overlap the two ends stay, if the middle one loses against one of them."""
+    model = pii.Model([], 0.0, dict.fromkeys(pii.KINDS, -1.0))
+    text = "call 0301 2345 6789 0123 4567, or write to anna at 0171 234 5678 dot com"
+    row = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    spans = sorted((s.s, s.e) for s in row.spans)
+    assert spans and all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    z = [("c", 0, 10, 3.0), ("b", 8, 20, 2.0), ("a", 18, 30, 1.0)]
+    df = spark.createDataFrame([(1, [x for x in z])], "i int, _z array<struct<kind:string,s:int,e:int,z:double>>")
+    assert [x.kind for x in df.select(F.expr(pii.KEPT).alias("k")).first().k] == ["c", "a"]
+
+
+def test_written_by_hand(spark):
+    """Sentences that no generator made: numbers and addresses told as such are found, dates and versions are left."""
+    private = ["reach me at jane dot doe at example dot org tonight", "my card is 4111.1111.1111.1111 thanks", "call (212) 555-0147 after six", "phone: 030-123-4567", "host fe80:1234:abcd:0001:0002:0003:0004:0005 is down"]
+    plain = ["version 10.2.33 came out on 2021-03-04", "pages 110-125 of the volume", "we met at noon. dot by dot", "scores 10 20 30 40", "order 1234-5678"]
+    df = spark.createDataFrame(list(enumerate(private + plain)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(df).collect()}
+    assert sum(bool(found[i]) for i in range(len(private))) >= 4
+    assert not any(found[i] for i in range(len(private), len(private) + len(plain)))
