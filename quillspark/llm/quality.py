@@ -31,6 +31,8 @@ SAMPLE, EPOCHS, STEPS = 3_000, 5, 400
 #: Learning rates: of the bucket vectors, and in shares of it those of the softmax layer over means and over products, and
 #: of the vectors whose products are taken.
 RATE, LAYER, TURN, FOLLOW = 2.5, 0.05, 4.0, 0.003
+#: Bytes of text that are scored at once: the features of a text take many times its size.
+PIECE = 1 << 20
 SPEED = np.repeat(np.array([LAYER, TURN], np.float32), DIM)[:, None]
 BORDER = 32
 
@@ -71,23 +73,26 @@ def features(w: Words):
 
 
 class Text:
-    """A text to learn from: its buckets with their shares, and its words' buckets in order."""
+    """A text to learn from: its buckets with their counts, and its words' buckets in order."""
 
     def __init__(self, text: str):
         raw = np.frombuffer(text.encode(), np.uint8)
         kinds = [b for b, _ in features(Words(raw, np.array([0, len(raw)], np.int64)))]
-        self.words = kinds[0]
-        self.order = np.argsort(self.words, kind="stable")
-        sorted_words = self.words[self.order]
-        self.cut = np.flatnonzero(np.diff(sorted_words, prepend=-1))
-        self.own = sorted_words[self.cut]
-        self.buckets, n = np.unique(np.concatenate(kinds), return_counts=True)
-        self.shares = (n / max(1, n.sum())).astype(np.float32)
+        # as few bytes a feature as will do: the driver holds all texts of the sample like this
+        small = np.uint16 if BUCKETS <= 1 << 16 else np.int32
+        self.words = kinds[0].astype(small)
+        order = np.argsort(self.words, kind="stable")
+        self.order = order.astype(np.int32)
+        self.cut = np.flatnonzero(np.diff(kinds[0][order], prepend=-1)).astype(np.int32)
+        buckets, n = np.unique(np.concatenate(kinds), return_counts=True)
+        self.buckets, self.counts = buckets.astype(small), n.astype(np.min_scalar_type(int(n.max(initial=1))))
+        self.size = max(1, int(n.sum()))
 
     def step(self, embed: np.ndarray, follow: np.ndarray, out: np.ndarray, bias: np.ndarray, label: int, rate: float) -> None:
         """One step of gradient descent on this text."""
         rows, hidden, n = embed.take(self.buckets, axis=0), np.zeros(2 * DIM, np.float32), len(self.words)
-        hidden[:DIM] = np.einsum("i,ij->j", self.shares, rows)  # not by BLAS, whose threads cost more than the sum
+        shares = self.counts.astype(np.float32) / np.float32(self.size)
+        hidden[:DIM] = np.einsum("i,ij->j", shares, rows)  # not by BLAS, whose threads cost more than the sum
         if n > 1:
             e = follow.take(self.words, axis=0)
             hidden[DIM:] = np.einsum("ij,ij->j", e[1:], e[:-1]) / np.float32(n - 1)
@@ -98,13 +103,14 @@ class Text:
         pull = rate * (out @ p)
         out -= SPEED * rate * np.outer(hidden, p)
         bias -= LAYER * rate * p
-        rows -= self.shares[:, None] * pull[:DIM]
+        rows -= shares[:, None] * pull[:DIM]
         embed[self.buckets] = rows
         if n > 1:
             back = np.zeros_like(e)
             back[1:] = e[:-1]
             back[:-1] += e[1:]
-            follow[self.own] -= np.add.reduceat(back.take(self.order, axis=0), self.cut) * (pull[DIM:] * np.float32(FOLLOW / (n - 1)))
+            own = self.words[self.order[self.cut]]
+            follow[own] -= np.add.reduceat(back.take(self.order, axis=0), self.cut) * (pull[DIM:] * np.float32(FOLLOW / (n - 1)))
 
 
 class Model:
@@ -151,7 +157,7 @@ class Model:
 
 
 def _score(batches, model: Model):
-    for b in slices(batches):
+    for b in slices(batches, most=PIECE):
         yield pa.RecordBatch.from_arrays([*(c for c, f in zip(b.columns, b.schema, strict=True) if f.name != "text"), pa.array(model.scores(*buffers(b.column("text"))), pa.float64())], [*(f.name for f in b.schema if f.name != "text"), "score"])
 
 
@@ -165,7 +171,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, learn: Colu
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
     rows = labelled_sample(docs, labels, "quality", learn, sample)
-    return Model.fit([t for t, _ in rows], [y for _, y in rows])
+    texts, marks = [t for t, _ in rows], [y for _, y in rows]
+    del rows
+    return Model.fit(texts, marks)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -176,7 +184,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
 
 
 def _accepted(batches, model: Model, least: float):
-    for b in slices(batches):
+    for b in slices(batches, most=PIECE):
         yield b.filter(pa.array(model.scores(*buffers(b.column("text"))) >= least))
 
 
