@@ -12,6 +12,8 @@ TRAILING = r"[.,;:)\]}>]+$"
 BODY = r"[A-Za-z0-9._;:()/\-]"
 WRAP = r"[ \t\r\n\u00AD]"
 PREPRINT_SERVER = "10.1101/"
+# Prefixes whose publishers serve a stand-in instead of the article.
+BYPASSED = ("10.1249/", "10.1519/", "10.2196/")
 
 
 def _stripped(c: Column) -> Column:
@@ -42,7 +44,7 @@ def gate_doi(c: Column) -> Column:
 
 def extract_doi(text: Column) -> Column:
     """The first sound DOI of a text, joined again where a line was broken after '.', '-' or '/'; else ''."""
-    wrapped = rf"(?i)10\.\d{{4,9}}/{BODY}*(?:(?<=[.\-/]){WRAP}+{BODY}+)*"
+    wrapped = rf"(?i)10\.\d{{4,9}}/(?:{BODY}+(?:(?<=[.\-/]){WRAP}+{BODY}+)*)?"  # a line is joined after a character of the body only
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(wrapped), F.lit(0))
     tidy = F.transform(found, lambda d: normalize_doi(F.regexp_replace(d, f"{WRAP}+", "")))
     return F.coalesce(F.get(F.filter(tidy, lambda d: ~is_suspicious_doi(d)), F.lit(0)), F.lit(""))
@@ -93,6 +95,12 @@ def preprint_pdf_url(c: Column) -> Column:
     return F.struct(url.alias("url"), (~direct).alias("scrape"))
 
 
+def bypasses_publisher(doi: Column, pdf_url: Column) -> Column:
+    """A DOI whose publisher's page is not worth trying: a known prefix, and no PDF link of its own."""
+    known = F.lower(F.coalesce(doi, F.lit(""))).rlike("^(?:" + "|".join(p.replace(".", "[.]") for p in BYPASSED) + ")")
+    return known & (F.coalesce(pdf_url, F.lit("")) == "")
+
+
 def doi_mismatch(found: Column, asked: Column, published: Column | None = None) -> Column:
     """A DOI found in a file is neither the one asked for nor the published one."""
     out = (found != "") & (found != normalize_doi(asked))
