@@ -28,10 +28,51 @@ def record_check(file_year: Column, record_year: Column, file_name: Column, reco
 
 def upper_median(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """least, upper median (sorted[n // 2]), greatest and the number under 1,000."""
+    # one row for each different value, so that a large group's rows are counted, not sorted
     w = Window.partitionBy(*by)
-    rows = df.withColumn("_r", F.row_number().over(w.orderBy(value))).withColumn("_c", F.count(F.lit(1)).over(w))
-    middle = F.max(F.when(F.col("_r") == F.expr("_c div 2 + 1"), F.col(value)))
-    return rows.groupBy(*by).agg(F.min(value).alias("least"), middle.alias("median"), F.max(value).alias("greatest"), F.count_if(F.col(value) < 1000).alias("n_short"))
+    rows = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    rows = rows.withColumn("_upto", F.sum("_n").over(w.orderBy(value))).withColumn("_c", F.sum("_n").over(w))
+    middle = F.min(F.when(F.col("_upto") >= F.expr("_c div 2 + 1"), F.col(value)))
+    return rows.groupBy(*by).agg(F.min(value).alias("least"), middle.alias("median"), F.max(value).alias("greatest"), F.coalesce(F.sum(F.when(F.col(value) < 1000, F.col("_n"))), F.lit(0)).alias("n_short"))
+
+
+def doi_conflicts(dois: DataFrame) -> DataFrame:
+    """From (project, stem, source, doi): files whose sources name different DOIs, and the DOIs that are malformed."""
+    from ..functions.doi import is_suspicious_doi
+
+    filled = dois.filter(F.coalesce("doi", F.lit("")) != "")
+    bad = F.when(is_suspicious_doi(F.col("doi")), F.concat_ws("=", "source", "doi"))
+    found = filled.groupBy("project", "stem").agg(F.min("doi").alias("_least"), F.max("doi").alias("_most"), F.array_sort(F.collect_set(bad)).alias("malformed"))
+    return found.select("project", "stem", (F.col("_least") != F.col("_most")).alias("mismatch"), "malformed").filter("mismatch or size(malformed) > 0")
+
+
+def same_project_copies(files: DataFrame) -> DataFrame:
+    """DOIs that a project holds in more than one file."""
+    return files.groupBy("doi", "project").agg(F.count(F.lit(1)).alias("n_files")).filter("n_files > 1")
+
+
+def table_counts(report: DataFrame) -> DataFrame:
+    """Papers with tables, and tables in all."""
+    return report.agg(F.count_if(F.col("n_tables") > 0).alias("n_papers"), F.sum("n_tables").alias("n_tables"))
+
+
+def inside_root(path: Column) -> Column:
+    """Whether a relative destination stays below its root once its dots are resolved."""
+    parts = F.filter(F.split(F.translate(path, "\\", "/"), "/"), lambda p: ~p.isin("", "."))
+    depth = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.lit(0).alias("least")), lambda a, p: F.struct((a["at"] + F.when(p == "..", -1).otherwise(1)).alias("at"), F.least(a["least"], a["at"] + F.when(p == "..", -1).otherwise(1)).alias("least")))
+    return ~path.startswith("/") & (depth["least"] >= 0)
+
+
+def queue_state(rows: DataFrame, by: list[str], line: str) -> DataFrame:
+    """PENDING_QUEUE for queues with more than a header that is no comment, else READY."""
+    data = (F.trim(line) != "") & ~F.ltrim(line).startswith("#")
+    return rows.groupBy(*by).agg(F.when(F.count_if(data) > 1, "PENDING_QUEUE").otherwise("READY").alias("state"))
+
+
+def checks(found: DataFrame, tiers: dict[str, Column]) -> DataFrame:
+    """One row for each tier and row of found: label, ok and the tier's verdict on the whole."""
+    each = F.explode(F.array(*[F.struct(F.lit(label).alias("label"), F.coalesce(ok, F.lit(False)).alias("ok")) for label, ok in tiers.items()])).alias("c")
+    return found.select(each).groupBy("c.label").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("c.ok")).alias("n_failed")).withColumn("ok", F.col("n_failed") == 0)
 
 
 def coverage(df: DataFrame, by: list[str], flags: list[str]) -> DataFrame:
@@ -68,5 +109,7 @@ def rename_ladder(doi: Column, found: Column, current: Column, proposed: Column,
 
 def collision_safe(df: DataFrame, name: str, order: str, tag: Column) -> DataFrame:
     """Names that an earlier row has get the tag before their suffix."""
-    again = F.row_number().over(Window.partitionBy(name).orderBy(order)) > 1
-    return df.withColumn("dest", F.when(again, F.concat(F.regexp_replace(name, r"\.[^.]*$", ""), F.lit("_"), tag, F.regexp_extract(name, r"(\.[^.]*)$", 1))).otherwise(F.col(name)))
+    first = df.groupBy(F.col(name).alias("_name")).agg(F.min(order).alias("_first"))
+    again = ~F.col(order).eqNullSafe(F.col("_first"))
+    df = df.join(first, F.col(name).eqNullSafe(F.col("_name")), "left")
+    return df.withColumn("dest", F.when(again, F.concat(F.regexp_replace(name, r"\.[^.]*$", ""), F.lit("_"), tag, F.regexp_extract(name, r"(\.[^.]*)$", 1))).otherwise(F.col(name))).drop("_name", "_first")

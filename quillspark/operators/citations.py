@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .tables import first_wins
+from .tables import checkpointed, first_wins
 
 
 def edges(candidates: DataFrame) -> DataFrame:
@@ -31,10 +29,10 @@ def reach(links: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """Nodes within depth steps of the seeds along citing -> cited, with their least distance."""
     seen = seeds.select("doi").distinct().withColumn("distance", F.lit(0))
     front = seen
-    hop = links.select("citing_doi", "cited_doi").distinct()
+    hop = checkpointed(links.select("citing_doi", "cited_doi").distinct())
     for d in range(1, depth + 1):
         step = hop.join(front.select(F.col("doi").alias("citing_doi")), "citing_doi", "left_semi").select(F.col("cited_doi").alias("doi")).distinct()
-        front = step.join(seen, "doi", "left_anti").withColumn("distance", F.lit(d))
+        front = checkpointed(step.join(seen, "doi", "left_anti").withColumn("distance", F.lit(d)))
         seen = seen.unionByName(front)
     return seen
 
@@ -65,25 +63,22 @@ def snowball(expand, count, state, max_rounds: int = 3, until: float = 1.0):
 
 def pagerank(links: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataFrame:
     """Ranks by iterated joins, each round cut from its lineage in the shared checkpoint folder."""
-    spark = links.sparkSession
     hop = links.select(F.col("citing_doi").alias("s"), F.col("cited_doi").alias("t")).distinct()
     out = hop.groupBy("s").agg(F.count(F.lit(1)).alias("d"))
     nodes = hop.select(F.col("s").alias("doi")).union(hop.select("t")).distinct()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/quillspark-ranks-{os.getpid()}")
     rank = nodes.withColumn("rank", F.lit(1.0))
-    weighted = hop.join(out, "s")
+    weighted = checkpointed(hop.join(out, "s"))
     for i in range(rounds):
         given = weighted.join(rank.select(F.col("doi").alias("s"), "rank"), "s").groupBy(F.col("t").alias("doi")).agg(F.sum(F.col("rank") / F.col("d")).alias("g"))
         rank = nodes.join(given, "doi", "left").select("doi", (1 - damping + damping * F.coalesce("g", F.lit(0.0))).alias("rank"))
         if i % 5 == 4:
-            rank = rank.checkpoint()
+            rank = checkpointed(rank)
     return rank
 
 
 def centroid_likeness(vectors: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
     """The k vectors most like the mean of the seeds' vectors, by cosine; the mean is one row."""
-    part = vectors.join(F.broadcast(seeds), "vec_id", "left_semi").select(F.posexplode("embedding").alias("i", "x"))
+    part = vectors.join(seeds, "vec_id", "left_semi").select(F.posexplode("embedding").alias("i", "x"))
     mean = part.groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m")).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     e, c = F.col("embedding"), F.col("c")

@@ -27,7 +27,7 @@ def top_candidates(candidates: DataFrame, metadata: DataFrame, locations: DataFr
         unowned(candidates, locations)
         .groupBy("doi")
         .agg(
-            F.size(F.collect_set("source_seed_doi")).cast("long").alias("n_seeds"),
+            F.count_distinct("source_seed_doi").alias("n_seeds"),
             F.max("citing_cited_by").alias("max_cited_by"),
             joined_set("source_type").alias("source_types"),
             joined_set("source_project").alias("via_projects"),
@@ -83,6 +83,25 @@ def counts(metadata: DataFrame, locations: DataFrame, candidates: DataFrame, cit
     return out
 
 
+def totals(metadata: DataFrame, locations: DataFrame, candidates: DataFrame, cites: DataFrame, without_doi: DataFrame) -> DataFrame:
+    """The nine totals of a refresh, each table aggregated once (one row each, put side by side)."""
+    total = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    held = locations.groupBy("doi").agg(F.count(F.lit(1)).alias("n")).join(metadata.select("doi"), "doi")
+    parts = [
+        metadata.agg(F.count(F.lit(1)).alias("n_metadata"), F.count_if(F.coalesce("abstract", F.lit("")) != "").alias("n_abstracts")),
+        total(locations, "n_locations"),
+        held.agg(F.count(F.lit(1)).alias("n_papers"), F.count_if(F.col("n") > 1).alias("n_cross_project")),
+        total(without_doi, "n_without_doi"),
+        candidates.agg(F.count_distinct("doi").alias("n_candidates")),
+        total(cites, "n_edges"),
+        total(unowned(candidates.select("doi").distinct(), locations), "n_unowned"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(F.broadcast(p))
+    return out
+
+
 def missing_abstracts(metadata: DataFrame, locations: DataFrame | None, limit: int) -> DataFrame:
     rows = metadata.filter(F.coalesce(F.col("abstract"), F.lit("")) == "")
     return (owned(rows, locations) if locations is not None else rows).orderBy("doi").limit(limit)

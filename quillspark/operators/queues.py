@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.doi import coerce_int
+from .tables import numbered
 
 RESOLVED = ("SKIP_EXISTS", "ALREADY_EXISTS")
 
@@ -38,6 +39,20 @@ def residual(queue: DataFrame, reports: list[DataFrame]) -> DataFrame:
     return reduce(lambda q, r: q.join(resolved(r), "doi", "left_anti"), reports, queue.withColumn("doi", F.lower("doi")))
 
 
+def still_wanted(report: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Rows of a report that were neither downloaded nor present, with a DOI, of the listed DOIs if a list is given."""
+    doi = F.lower(F.trim(F.coalesce("doi", F.lit(""))))
+    rows = report.filter((F.coalesce("downloaded", F.lit("")) != "True") & (F.coalesce("status", F.lit("")) != "SKIP_EXISTS") & (doi != ""))
+    return rows if only is None else rows.withColumn("_doi", doi).join(only.select(F.lower(F.trim("doi")).alias("_doi")).distinct(), "_doi", "left_semi").drop("_doi")
+
+
+def name_history(rows: DataFrame, name: Column, order: str) -> DataFrame:
+    """From old queues the DOI that each file name was built for, the first that did."""
+    doi = F.lower(F.trim(F.coalesce("doi", F.lit(""))))
+    built = rows.select(name.alias("filename"), doi.alias("doi"), order).filter("doi <> '' and filename <> ''")
+    return built.groupBy("filename").agg(F.min_by("doi", order).alias("doi"))
+
+
 def stage_tallies(stages: dict[str, DataFrame]) -> DataFrame:
     """Downloads of each stage, and their total."""
     parts = [r.agg(F.count_if(is_true("downloaded")).alias("downloaded")).select(F.lit(s).alias("stage"), "downloaded") for s, r in stages.items()]
@@ -56,14 +71,12 @@ def priority_queue(groups: DataFrame, signal: DataFrame, top: int = 50) -> DataF
     j = groups.join(signal, "doi", "left")
     cites = F.greatest(F.col("cites_csv"), F.coalesce("max_cited_by", F.lit(0)))
     rows = j.select("doi", "title", "year", "projects", F.coalesce("n_seeds", F.lit(0)).cast("long").alias("seeds"), cites.cast("long").alias("cites")).withColumn("score", F.col("seeds") * 10 + F.col("cites"))
-    rank = F.row_number().over(Window.orderBy(F.desc("score"), coerce_int(F.col("year")).desc(), "doi"))
-    return rows.withColumn("rank", rank).withColumn("priority", F.when(F.col("rank") <= top, "A").otherwise("B"))
+    return numbered(rows, [-F.col("score"), -coerce_int(F.col("year")), F.col("doi")], "rank").withColumn("priority", F.when(F.col("rank") <= top, "A").otherwise("B"))
 
 
 def batches(keys: DataFrame, key: str, size: int = 100) -> DataFrame:
     """Numbered batches in key order."""
-    n = F.row_number().over(Window.orderBy(key))
-    return keys.withColumn("batch", F.floor((n - 1) / size).cast("long"))
+    return numbered(keys, [F.col(key)], "_at").withColumn("batch", F.floor((F.col("_at") - 1) / size).cast("long")).drop("_at")
 
 
 def next_pending(queue: DataFrame, done: DataFrame, opened: DataFrame, n: int) -> DataFrame:

@@ -5,6 +5,7 @@ Every function takes whole DataFrames and returns the new state of the target; w
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -74,6 +75,38 @@ def collect_garbage(metadata: DataFrame, key: str, references: list[tuple[DataFr
     return metadata.join(pinned, key, "left_semi")
 
 
+def rebuilt(old: DataFrame, new: DataFrame, harvested: str = "abstract") -> tuple[DataFrame, DataFrame]:
+    """A table built anew, and one row with the number of harvested values that this discards."""
+    lost = old.agg(F.count_if(F.coalesce(F.col(harvested), F.lit("")) != "").alias("discarded"))
+    return new.withColumn(harvested, F.lit(None).cast(old.schema[harvested].dataType)).select(*old.columns), lost
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the shared checkpoint folder: what follows reads it as often as it likes, and lineage ends there."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if not where and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(where or f"file:///tmp/quillspark-{os.getpid()}")
+    return df.checkpoint()
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df with its rows' numbers from 1 in an order whose keys are unique and ascend: ranges of the keys are numbered each in a task
+    of its own, after the sizes of the ranges before it."""
+    rows = checkpointed(df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])))
+    parts, n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count()
+    cuts = sorted(rows.select("_key").sample(min(1.0, 32 * parts / max(1, n)), seed=5).collect())[31::32][: 2 * parts]
+    literal = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(c["_key"], rows.schema["_key"].dataType, strict=True)]) for c in cuts]
+    below = [F.when(c < F.col("_key"), 1).otherwise(0) for c in literal]
+    rows = rows.withColumn("_part", sum(below[1:], below[0]) if below else F.lit(0))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # of a few rows, one for each range
+    starts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy("_part").orderBy("_key"))
+    return rows.join(F.broadcast(starts), "_part").withColumn(name, (F.col("_start") + own).cast("long")).drop("_part", "_key", "_start")
+
+
 def fill_column(target: DataFrame, values: DataFrame, key: str, column: str) -> DataFrame:
     """A point update: the value of values where there is one."""
     v = values.select(F.col(key), F.col(column).alias("_v"))
