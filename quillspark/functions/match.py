@@ -70,6 +70,41 @@ def kept_if_empty(new: Column, old: Column) -> Column:
     return F.coalesce(F.when(new != "", new), F.when(old != "", old), new)
 
 
+# The fields of a stored record that a new extraction must not lose.
+ENRICHED = ("doi", "title", "subtitle", "year", "journal", "authors", "pmid", "pmcid", "abstract", "figures", "metadata_source", "metadata_correction_note")
+
+
+def _empty(c: Column, zero: bool) -> Column:
+    """Null, '', [] or {}, given as JSON; 0 too where zero is."""
+    return c.isNull() | c.isin("null", '""', "", "[]", "{}", *(["0"] if zero else []))
+
+
+def merge_records(old: Column, new: Column) -> Column:
+    """Two records as maps from field to JSON value: the new one, but an enriched field that it lacks keeps the old value."""
+    kept = F.filter(F.map_keys(old), lambda k: k.isin(*ENRICHED) & ~_empty(old[k], False) & _empty(F.try_element_at(new, k), True))
+    rest = F.map_filter(new, lambda k, v: ~F.array_contains(kept, k))
+    return F.when(old.isNull() | (F.size(old) == 0), new).otherwise(F.map_concat(rest, F.map_from_arrays(kept, F.transform(kept, lambda k: old[k]))))
+
+
+def fill_record(record: dict[str, Column], found: dict[str, Column]) -> Column:
+    """A record with what a lookup found: the DOI is replaced, other fields are filled where empty; null if the DOI found is not well formed."""
+    from .doi import is_valid_doi
+
+    doi = F.trim(F.coalesce(found["doi"], F.lit("")))
+    fields = [F.when(F.coalesce(record[f].cast("string"), F.lit("")).isin("", "0"), found[f]).otherwise(record[f]).alias(f) for f in record if f != "doi"]
+    return F.when(is_valid_doi(doi), F.struct(doi.alias("doi"), *fields))
+
+
+def title_gate(title: Column, head: Column, least: float = 0.55) -> Column:
+    """Whether a record's title belongs to a file with this head: contained in it, else like its beginning; titles under 8 characters pass."""
+    from .text import normalize_title
+
+    own, first = normalize_title(title), normalize_title(F.substring(head, F.lit(1), F.greatest(F.length(title) * 3, F.lit(120))))
+    contained = (own != "") & normalize_title(head).contains(own)
+    unknown = (F.length(F.trim(F.coalesce(title, F.lit("")))) < 8) | (F.coalesce(head, F.lit("")) == "")
+    return unknown | contained | (title_similarity(own, first) >= least)
+
+
 def query_string(author: Column, title: Column, year: Column) -> Column:
     filled = lambda c: F.when(c != "", c)
     return F.concat_ws(" ", filled(author), filled(title), filled(year))

@@ -16,6 +16,18 @@ SLUG_STOP = (*SHORT_STOP, "or", "is", "are", "be", "been", "this", "that", "thes
 KEYWORD_STOP = (*SLUG_STOP, "was", "were")
 
 
+def split_authors(names: Column) -> Column:
+    """(family, given) of each name: at the first comma, else the last word is the family."""
+    def one(a: Column) -> Column:
+        words = F.filter(F.split(F.trim(a), r"\s+"), lambda w: w != "")
+        comma = F.instr(a, ",") > 0
+        family = F.when(comma, F.trim(F.substring_index(a, ",", 1))).otherwise(F.element_at(words, -1))
+        given = F.when(comma, F.trim(F.regexp_replace(a, "^[^,]*,", ""))).otherwise(F.array_join(F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0))), " "))
+        return F.when(comma | (F.size(words) > 0), F.struct(family.alias("family"), given.alias("given")))
+
+    return F.filter(F.transform(names, one), lambda x: x.isNotNull())
+
+
 def _accents() -> tuple[str, str]:
     """Letters up to U+024F that fold to one ASCII letter, and what they fold to."""
     pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in range(0xC0, 0x250)]

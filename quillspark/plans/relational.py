@@ -344,9 +344,14 @@ def reach_all(d: Domain):
     return citations.reach(citations.edges(d.candidates), d.locations.filter("project = 'ASIA'"), 2)
 
 
-@query("g06_pagerank")
+RANKS = ", hop AS (SELECT DISTINCT citing_doi AS s, cited_doi AS t FROM all_edges), deg AS (SELECT s, count(*) AS d FROM hop GROUP BY s), nodes AS (SELECT s AS doi FROM hop UNION SELECT t FROM hop), r0 AS (SELECT doi, 1.0::DOUBLE AS rank FROM nodes)"
+for _i in range(1, 6):
+    RANKS += f", r{_i} AS (SELECT n.doi, 0.15::DOUBLE + 0.85::DOUBLE * coalesce(g, 0) AS rank FROM nodes n LEFT JOIN (SELECT t, sum(rank / d) AS g FROM hop JOIN deg USING (s) JOIN r{_i - 1} ON r{_i - 1}.doi = hop.s GROUP BY t) x ON x.t = n.doi)"
+
+
+@query("g06_pagerank", RANKS + " SELECT doi, round(rank, 9) AS rank FROM r5")
 def pagerank(d: Domain):
-    return citations.pagerank(citations.edges(d.candidates), 5)
+    return citations.pagerank(citations.edges(d.candidates), 5).withColumn("rank", F.round("rank", 9))
 
 
 @query("g07_centroid", ", q AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), c AS (SELECT i, avg(x) AS m FROM q WHERE vec_id < 5 GROUP BY i) SELECT vec_id, round(sum(x * m) / sqrt(sum(x * x) * sum(m * m)), 6) AS likeness FROM q JOIN c USING (i) GROUP BY vec_id ORDER BY likeness DESC, vec_id LIMIT 50")

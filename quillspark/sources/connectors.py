@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.doi import normalize_doi
+from ..functions.doi import normalize_doi, preprint_pdf_url
 from ..functions.text import clean_abstract
 
 WORK = (
@@ -91,6 +91,71 @@ def id_records(recorded: DataFrame) -> DataFrame:
     return rows.select(F.lower(F.coalesce(F.col("r.doi"), F.col("r.requested-id"))).alias("doi"), F.col("r.pmcid").alias("pmcid")).filter("pmcid is not null")
 
 
+def pmid_dois(recorded: DataFrame) -> DataFrame:
+    """For each requested PMID the DOI of the first record that has one."""
+    rows = responses(recorded, "pmid").select("key", F.filter(F.from_json("body", ID_RECORDS)["records"], lambda r: F.coalesce(r["doi"], F.lit("")) != "").alias("r"))
+    return rows.filter(F.size("r") > 0).select(F.col("key").alias("pmid"), F.lower(F.col("r")[0]["doi"]).alias("doi"))
+
+
+# Preprint servers by DOI prefix.
+SERVERS = {"10.1101": "biorxiv-medrxiv", "10.21203": "researchsquare", "10.31219": "osf-preprints", "10.20944": "preprints.org", "10.31234": "psyarxiv"}
+PREPRINTS = "struct<resultList:struct<result:array<struct<id:string,pmcid:string,doi:string,title:string,pubYear:string,authorString:string>>>>"
+OSF = "struct<data:array<struct<id:string,attributes:struct<title:string,date_published:string,doi:string>,relationships:struct<primary_file:struct<data:struct<id:string>>,provider:struct<data:struct<id:string>>>>>>"
+
+
+def preprints(recorded: DataFrame, pdf_of_pmcid: str) -> DataFrame:
+    """Preprints of a search by position: deposited ones have a PDF of their own, others are found by their DOI; the rest is left out."""
+    hits = responses(recorded, "preprints").select("key", F.posexplode(F.from_json("body", PREPRINTS)["resultList"]["result"]).alias("at", "p")).select("key", "at", "p.*")
+    hits = hits.na.fill("", ["id", "pmcid", "doi", "title", "pubYear", "authorString"])
+    prefix = F.when(F.instr("doi", "/") > 0, F.substring_index("doi", "/", 1)).otherwise("epmc")
+    tag = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in SERVERS.items() for x in kv]), prefix), F.concat(F.lit("epmc:"), prefix))
+    own, found = F.col("pmcid") != "", preprint_pdf_url(F.col("doi"))
+    return hits.filter("pmcid <> '' or doi <> ''").select(
+        "key", "at", F.when(own, "epmc-preprint-pmc").otherwise(tag).alias("source"), F.when(own, F.col("pmcid")).otherwise(F.col("id")).alias("id"), "title", F.col("pubYear").alias("year"),
+        F.col("authorString").alias("authors"), "doi", F.when(own, F.replace(F.lit(pdf_of_pmcid), F.lit("{pmcid}"), F.col("pmcid"))).otherwise(found["url"]).alias("pdf_url"), (~own & found["scrape"]).alias("needs_scrape"),
+    )
+
+
+def osf_preprints(recorded: DataFrame, top: int = 5) -> DataFrame:
+    """Preprints of a search of the open-science server: those of the first hits that have a file."""
+    hits = responses(recorded, "osf").select("key", F.posexplode(F.from_json("body", OSF)["data"]).alias("at", "p")).filter(F.col("at") < top)
+    file, host = F.col("p.relationships.primary_file.data.id"), F.coalesce("p.relationships.provider.data.id", F.lit("osf"))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return hits.filter(F.coalesce(file, F.lit("")) != "").select(
+        "key", "at", F.concat(F.lit("osf:"), host).alias("source"), text("p.id").alias("id"), text("p.attributes.title").alias("title"), F.substring(text("p.attributes.date_published"), 1, 4).alias("year"),
+        F.lit("").alias("authors"), text("p.attributes.doi").alias("doi"), F.concat(F.lit("https://api.osf.io/v2/files/"), file, F.lit("/?action=download")).alias("pdf_url"), F.lit(False).alias("needs_scrape"),
+    )
+
+
+def full_text(status: Column, body: Column) -> Column:
+    """What a full-text request gave: the XML's state."""
+    return F.when(status == 404, "NOT_AVAILABLE").when(status != 200, F.concat(F.lit("HTTP_"), status.cast("string"))).when(~F.coalesce(body, F.lit("")).rlike(r"^\s*<"), "EMPTY_OR_NON_XML").otherwise("OK")
+
+
+def first_download(attempts: DataFrame, hops: int = 3) -> DataFrame:
+    """From attempts (doi, rank, url, status, links) and what the links of pages gave (hop): each DOI's first URL that is a
+    PDF, in order of the candidates, a page's first links right after it."""
+    direct = attempts.select("doi", "rank", F.lit(0).alias("hop"), "url", "status")
+    linked = attempts.filter("status = 'HTML'").select("doi", "rank", F.posexplode("links").alias("at", "l")).filter(F.col("at") < hops)
+    tried = direct.union(linked.select("doi", "rank", F.col("at") + 1, "l.url", "l.status"))
+    return tried.groupBy("doi").agg(F.min(F.when(F.col("status") == "OK", F.struct("rank", "hop", "url"))).alias("b"), F.count(F.lit(1)).alias("n_tried")).select("doi", "n_tried", F.col("b.url").alias("url"))
+
+
+def figure_files(figures: DataFrame, pages: DataFrame, least_page: int = 30_000) -> DataFrame:
+    """From figures (stem, at, href) and pages (stem, length, urls): the files to save, by the first URL of each name; a page too
+    short for an article is an interstitial and has none."""
+    links = pages.filter(F.col("length") >= least_page).select("stem", F.posexplode("urls").alias("i", "url")).withColumn("href", F.substring_index("url", "/", -1))
+    first = links.groupBy("stem", "href").agg(F.min_by("url", "i").alias("url"))
+    name = F.concat("stem", F.lit(".fig"), F.col("at") + 1, F.lit("."), F.lower(F.substring_index("href", ".", -1)))
+    return figures.filter("href <> ''").join(first, ["stem", "href"]).select("stem", "at", name.alias("file"), "url")
+
+
+def image_kind(head: Column, length: Column, most: int = 30_000_000) -> Column:
+    """The kind of an image by its first bytes (in hexadecimal), null for anything else or too large."""
+    kind = F.when(head.startswith("FFD8FF"), "jpg").when(head.startswith("89504E47"), "png").when(head.startswith("47494638"), "gif")
+    return F.when(length <= most, kind)
+
+
 def download_status(status: Column, head: Column, length: Column, stand_in: Column, most: int = 50_000_000, least: int = 10_000) -> Column:
     """What a download is, first rule that holds."""
     return (

@@ -46,6 +46,18 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def draft_queue(top: DataFrame, project: str, destination: str, filters: str, renamed: str = "lit_pull_queue.csv") -> DataFrame:
+    """The lines of a draft queue (at, line): comments that ask for a review, the header, then top in its order (rank); it is
+    as long as the limit that top was cut at."""
+    quoted = lambda c: F.when(c.rlike('[,"\n\r]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(c)
+    note = F.concat(F.lit("n_seeds="), "n_seeds", F.lit(" cites="), "max_cited_by", F.lit(" src="), "source_types")
+    text = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit(""))
+    rows = top.select((F.col("rank") + 5).alias("at"), F.concat_ws(",", *[quoted(c) for c in (text("doi"), text("title"), text("authors"), text("year"), F.lit(destination), note)]).alias("line"))
+    head = [f"# REVIEW BEFORE SWEEP — drop irrelevant rows, then rename to {renamed}", f"# Source: top_candidates view, project={project}", f"# Filters: {filters}"]
+    lines = rows.sparkSession.createDataFrame([(i + 1, x) for i, x in enumerate(head)] + [(5, "doi,title,authors,year,destination,notes")], "at long, line string")
+    return lines.union(top.agg(F.lit(4).cast("long").alias("at"), F.concat(F.lit("# Total rows: "), F.count(F.lit(1))).alias("line"))).union(rows)
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
