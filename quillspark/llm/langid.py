@@ -19,6 +19,7 @@ its own; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 from functools import partial
 
 import numpy as np
@@ -164,10 +165,14 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Fil
     """Filters of all languages, from a bounded sample of each one's rows where learn holds."""
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", F.xxhash64("doc_id", F.lit(41)).alias("h"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    below = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) < F.lit(SPARE * per_language) / F.col("n")
+    # a number for each language, as the filters are; a join would deal all texts by language
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return Filters({})
+    share = F.from_json(F.lit(json.dumps({name: min(1.0, SPARE * per_language / n) for name, n in sizes.items()})), "map<string,double>")
+    below = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)) <= F.try_element_at(share, F.col("lang"))
     order = Window.partitionBy("lang").orderBy("h", "doc_id", F.xxhash64("text"))
-    chosen = known.join(sizes, "lang").filter(below).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
+    chosen = known.filter(below).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
     rows = chosen.select("lang", "text").groupBy("lang").applyInArrow(_learned, "lang string, bits binary").collect()
     return Filters({r["lang"]: np.frombuffer(r["bits"], np.uint8) for r in rows})
 
