@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .common import GOLDEN, IS_SPACE, MIX_A, U64, Words, buffers, slices
 
 BUCKETS, DIM, GRAMS = 1 << 16, 16, (3, 4, 5)
-SAMPLE, EPOCHS, STEPS = 3_000, 5, 400
+SAMPLE, EPOCHS = 3_000, 5
+#: A small sample is gone through more often: up to so many steps, and so many buckets in all.
+STEPS, WORK = 6_000, 40_000_000
 #: Learning rates: of the bucket vectors, and in shares of it those of the softmax layer over means and over products, and
 #: of the vectors whose products are taken.
 RATE, LAYER, TURN, FOLLOW = 2.5, 0.05, 4.0, 0.003
@@ -128,7 +130,7 @@ class Model:
         known, random = [Text(t) for t in texts], np.random.default_rng(seed)
         embed, follow = (random.uniform(-side, side, (BUCKETS, DIM)).astype(np.float32) for side in (1 / DIM, (3 / DIM) ** 0.5))
         out, bias = np.zeros((2 * DIM, 2), np.float32), np.log(np.bincount(y, minlength=2) / len(y)).astype(np.float32)
-        epochs = max(EPOCHS, -(-STEPS // len(y)))
+        epochs = max(EPOCHS, min(-(-STEPS // len(y)), WORK // max(1, sum(len(t.buckets) for t in known))))
         steps, step = epochs * len(y), 0
         for _ in range(epochs):
             for i in random.permutation(len(y)):

@@ -501,7 +501,7 @@ def test_pipeline_order(spark, monkeypatch):
     monkeypatch.setattr(P, "STAGES", [stages[0], (stages[1][0], lambda s, d, f: seen.append(d) or stages[1][1](s, d, f))])
     try:
         rows = P.run(spark, "/root/testdata/sf0.01").select("doc_id", "sequence_id").collect()
-        slot = {r.doc_id: r.slot for r in mixing.mix_sources(seen[0]).select("doc_id", "slot").collect()}
+        slot = {r.doc_id: r.slot for r in mixing.mix_sources(seen[0], mixing.TARGETS).select("doc_id", "slot").collect()}
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
