@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import recovery, relational, scalars, sources, texts  # noqa: F401
+from . import recovery, relational, runs, scalars, sources, texts  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
