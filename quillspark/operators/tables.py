@@ -121,10 +121,12 @@ def longest_match(left: DataFrame, right: DataFrame, condition: Column, by: list
 
 def longest_inside(left: DataFrame, text: str, right: DataFrame, key: str, least: int) -> DataFrame:
     """For each left row the longest key (the first of equally long ones) of at least so many characters that its text
-    holds.  Any number of keys: each distinct text's pieces, as long as some key, meet the keys by an equal join."""
+    holds.  Any number of keys: each distinct text's pieces, as long as some key, meet the keys by an equal join, as do the
+    lengths: no product of texts and keys.  Texts are names, since a text has a square of pieces."""
     keys = right.select(F.col(key).alias("_k")).filter(F.length("_k") >= least).distinct()
     sizes = keys.select(F.length("_k").alias("_size")).distinct()
     own = left.select(F.col(text).alias("_text")).filter("_text is not null").distinct()
-    pieces = own.join(sizes, F.length("_text") >= F.col("_size")).select("_text", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_size") + 1)).alias("_at"), "_size").select("_text", F.expr("substring(_text, _at, _size)").alias("_k"))
+    sized = own.filter(F.length("_text") >= least).select("_text", F.explode(F.sequence(F.lit(least), F.length("_text"))).alias("_size")).join(sizes, "_size")
+    pieces = sized.select("_text", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_size") + 1)).alias("_at"), "_size").select("_text", F.expr("substring(_text, _at, _size)").alias("_k"))
     best = pieces.join(keys, "_k").groupBy("_text").agg(F.min(F.struct((-F.length("_k")).alias("_n"), "_k")).alias("_best"))
     return left.join(best, left[text] == best["_text"]).withColumn(key, F.col("_best._k")).drop("_text", "_best")
