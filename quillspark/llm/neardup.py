@@ -33,6 +33,8 @@ from .graph import components
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, MANTISSA, SIGMAS, BLOCK = 40, 5, 10, 5.0, 256
 REGISTERS = BANDS * ROWS
+#: Bytes of text whose shingles are held at once.
+PIECE = 1 << 20
 LOW = np.arange(256, dtype=np.uint8)
 LOW[65:91] += 32
 
@@ -112,7 +114,7 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _sketched(batches, k: int):
-    for b in slices(batches):
+    for b in slices(batches, most=PIECE):
         hashes, bounds = shingles(*buffers(b.column("text")), k)
         sizes = np.diff(bounds)
         sums = [np.append(np.zeros(1, np.uint64), np.cumsum(mix(hashes * m + U64(7)), dtype=np.uint64)) for m in (MIX_A, MIX_B)]
@@ -136,7 +138,7 @@ def _plausible(batches, percent: int):
 
 
 def _squeezed(batches):
-    for b in slices(batches):
+    for b in slices(batches, most=PIECE):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(squeeze_texts(*buffers(b.column("text"))), pa.binary())], ["doc_id", "z"])
 
 

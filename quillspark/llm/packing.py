@@ -30,6 +30,8 @@ from .common import IS_SPACE, buffers, slices, span_hash, word_spans
 
 LENGTH, SEGMENTS, LOSS, END = 4096, 16, 3968, 2
 POOL, POOL_TOKENS, VOCABULARY = 512, 1 << 20, 600_000
+#: Bytes of text that are encoded at once: spans and hashes of a text take many times its size.
+PIECE = 1 << 20
 MARK = "\x01"
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
@@ -63,7 +65,8 @@ class Encoder:
         return cls.kept[path, end]
 
     def clear(self) -> None:
-        self.index, self.flat, self.off = {}, np.array([self.end], np.uint32), np.array([0, 1], np.int64)
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # hashes in order, and where their ids are
+        self.flat, self.off = np.array([self.end], np.uint32), np.array([0, 1], np.int64)
 
     def learn(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; many are encoded at once, with a character between them that none of them has."""
@@ -71,8 +74,8 @@ class Encoder:
             return [e.ids for e in self.model.encode_batch_fast(words, add_special_tokens=False)]
         mark, out = self.model.encode(MARK, add_special_tokens=False).ids[0], []
         texts = [f" {MARK} ".join(words[i : i + 256]) for i in range(0, len(words), 256)]
-        for e in self.model.encode_batch_fast(texts, add_special_tokens=False):
-            ids = e.ids
+        for t in texts:  # one by one, as an encoding takes many times its ids
+            ids = self.model.encode_batch_fast([t], add_special_tokens=False)[0].ids
             at = [-1, *(i for i, x in enumerate(ids) if x == mark), len(ids)]
             out += [ids[i + 1 : j] for i, j in zip(at[:-1], at[1:], strict=True)]
         return out
@@ -82,21 +85,25 @@ class Encoder:
         low = ASCII_LOWER[raw]  # as the tokenizer does first
         start, end = word_spans(low, off)
         if len(start):  # marks after a last letter are tokens of their own
-            at = np.arange(len(low))
+            at = np.arange(len(low), dtype=np.int32 if len(low) < 1 << 31 else np.int64)
             at[MARKS[low] | IS_SPACE[low]] = -1
             last = np.maximum.reduceat(at, start)
             cut = last + 1
             cut = cut[(last >= start) & (cut < end) & LETTERS[low[last]]]
             start, end = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([end, cut]))
         own, first, which = np.unique(span_hash(low, start, end), return_index=True, return_inverse=True)
-        if len(self.index) + len(own) > VOCABULARY:
+        if len(self.known) + len(own) > VOCABULARY:
             self.clear()
-        place = np.array([self.index.get(h, 0) for h in own.tolist()], np.int64)
-        if (new := np.flatnonzero(place == 0)).size:
+        near = np.searchsorted(self.known, own)
+        have = near < len(self.known)
+        have[have] = self.known[near[have]] == own[have]
+        place = np.zeros(len(own), np.int64)
+        place[have] = self.place[near[have]]
+        if (new := np.flatnonzero(~have)).size:
             data = low.tobytes()
             ids = self.learn([data[a:b].decode("utf-8", "replace") for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
             place[new] = np.arange(len(self.off) - 1, len(self.off) - 1 + len(new))
-            self.index.update(zip(own[new].tolist(), place[new].tolist(), strict=True))
+            self.known, self.place = np.insert(self.known, near[new], own[new]), np.insert(self.place, near[new], place[new])
             self.flat = np.concatenate([self.flat, np.array([x for y in ids for x in y], np.uint32)])
             self.off = np.concatenate([self.off, self.off[-1] + np.cumsum([len(x) for x in ids])])
         word = np.searchsorted(start, off)
@@ -207,7 +214,7 @@ class Packer:
 
 def _pack(batches, path: str, end: int, length: int, segments: int, loss: int):
     encoder, packer = Encoder.at(path, end), Packer(length, segments, loss, TaskContext.get().partitionId() << 32)
-    for b in slices(batches):
+    for b in slices(batches, most=PIECE):
         ids, off = encoder.encode(*buffers(b.column("text")))
         for doc, share, i, j in zip(b.column("doc_id").to_pylist(), b.column("prompt_share").to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True):
             packer.add(doc, ids[i:j].copy(), int((share or 0.0) * (j - i)))

@@ -34,7 +34,7 @@ STEPS, WORK = 6_000, 40_000_000
 #: of the vectors whose products are taken.
 RATE, LAYER, TURN, FOLLOW = 2.5, 0.05, 4.0, 0.003
 #: Bytes of text that are scored at once: the features of a text take many times its size.
-PIECE = 1 << 20
+PIECE = 1 << 18
 SPEED = np.repeat(np.array([LAYER, TURN], np.float32), DIM)[:, None]
 BORDER = 32
 

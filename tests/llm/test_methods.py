@@ -2,10 +2,13 @@
 
 import random
 import string
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -257,6 +260,30 @@ def test_short_texts_are_not_padded(spark):
     assert sum(r.n for r in rows) == 9000 and padding(r.n for r in rows) == 0
 
 
+def test_packing_holds_little(monkeypatch):
+    """A large batch is encoded in pieces, which change nothing, and a word that is kept takes few bytes."""
+    rng = random.Random(21)
+    some = ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(500)]
+    texts = [" ".join(rng.choices(some, k=600)) for _ in range(900)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(900)), "text": texts, "prompt_share": [0.0] * 900})
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    task = lambda: [r for b in packing._pack(iter([batch]), packing.tokenizer_path(), 2, 4096, 16, 3968) for r in b.to_pylist()]
+    task()  # loads the model
+    tracemalloc.start()
+    try:
+        got, peak = task(), tracemalloc.get_traced_memory()[1]
+        encoder = packing.Encoder(packing.tokenizer_path(), 2)
+        raw = np.frombuffer(" ".join(f"{i:x}" for i in range(40_000)).encode(), np.uint8)
+        before = tracemalloc.get_traced_memory()[0]
+        encoder.encode(raw, np.array([0, len(raw)], np.int64))
+        kept = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    monkeypatch.setattr(packing, "PIECE", 1 << 14)
+    assert got == task() and {r["doc_id"] for r in got} == set(range(900))
+    assert peak < 120e6 and kept < 60 * 40_000
+
+
 def test_packing_query(spark):
     """The limits bind on documents; the digests are those of the ids."""
     rows = QUERIES["op7_packing"](spark, SF).collect()
