@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import GOLDEN, MIX_A, MIX_B, U64, Words, buffers, expand_texts, materialise, mix, slices, squeeze_texts
-from .graph import components
+from .graph import components, linked
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS, MANTISSA, SIGMAS, BLOCK = 40, 5, 10, 5.0, 256
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     links = materialise(s.links(star), "links")
     label = materialise(components(links), "components")
     more = materialise(s.crossings(buckets, label), "links")
-    final = materialise(components(links.union(more)), "components")
+    final = label if more.isEmpty() else linked(label, more)
     reps = s.classes.join(final.withColumnRenamed("node", "rep"), "rep", "left").select("h", F.coalesce("component", "rep").alias("component_id"))
     out = s.members.join(reps, "h", "left")
     component = F.coalesce("component_id", "doc_id")

@@ -265,7 +265,8 @@ def _fitted(rows: tuple) -> Model:
 def fit(spark: SparkSession, n: int = EXAMPLES) -> Model:
     made = examples(n)
     rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "i long, _t string")
-    found = with_candidates(with_base(rows)).select("i", F.explode("_found").alias("x")).select("i", "x.kind", "x.s", "x.m", *[f"x.{f}" for f in FEATURES]).orderBy("i", "s", "kind").collect()
+    found = with_candidates(with_base(rows)).select("i", F.explode("_found").alias("x")).select("i", "x.kind", "x.s", "x.m", *[f"x.{f}" for f in FEATURES]).collect()
+    found = sorted(found, key=lambda r: (r["i"], r["s"], r["kind"]))  # here: to sort there, Spark would plan and work out all spans twice
     label = lambda r: int(any(r["m"].strip() in p or p in r["m"] for p in made[r["i"]][1]))
     return _fitted(tuple((r["kind"], label(r), *(r[f] for f in FEATURES)) for r in found))
 

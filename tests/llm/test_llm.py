@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from quillspark.llm import fingerprint, hostrules, langid, mixing, neardup, packing, pii, quality, substring, toxicity
+from quillspark.llm import fingerprint, graph, hostrules, langid, mixing, neardup, packing, pii, quality, substring, toxicity
 from quillspark.llm.common import pack, unpack
 from quillspark.llm.queries import ORACLE, QUERIES
 
@@ -279,6 +279,37 @@ def test_near_duplicates(spark, docs, awkward):
         assert got == brute_components({(r.doc_id, r.text) for r in df.collect()})
 
 
+def test_components_of_stars(spark, monkeypatch):
+    """Stars are found as they are, and more edges look again only at the components that they join: the driver plans no round for either."""
+    monkeypatch.setattr(graph, "_large_star", None)
+    label = graph.components(spark.createDataFrame([(1, 5), (7, 1), (2, 9), (4, 4), (3, 8), (3, 8), (20, 21)], "a long, b long"))
+    stars = {1: 1, 5: 1, 7: 1, 2: 2, 9: 2, 3: 3, 8: 3, 20: 20, 21: 20}
+    assert sorted(map(tuple, label.collect())) == sorted(stars.items())
+    more = spark.createDataFrame([(5, 9), (7, 8), (30, 31), (0, 21), (1, 7)], "a long, b long")
+    after = stars | {2: 1, 9: 1, 3: 1, 8: 1, 30: 30, 31: 30, 0: 0, 20: 0, 21: 0}
+    assert sorted(map(tuple, graph.linked(label, more).collect())) == sorted(after.items())
+
+
+def test_components_of_chains(spark):
+    """Long chains, a hub and edges among components, by the least node that is reached one by one."""
+    random = np.random.default_rng(5)
+    edges = [(i, i + 1) for i in range(100, 130)] + [(int(x), int(y)) for x, y in random.integers(200, 280, (50, 2))] + [(400, i) for i in range(300, 320)]
+    more = [(int(x), int(y)) for x, y in random.integers(90, 420, (12, 2))]
+
+    def reached(edges):
+        least = {n: n for e in edges if e[0] != e[1] for n in e}
+        for _ in least:
+            for a, b in edges:
+                if a != b:
+                    least[a] = least[b] = min(least[a], least[b])
+        return sorted(least.items())
+
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    label = graph.components(frame(edges))
+    assert sorted(map(tuple, label.collect())) == reached(edges)
+    assert sorted(map(tuple, graph.linked(label, frame(more)).collect())) == reached(edges + more)
+
+
 def test_blocks(spark, monkeypatch):
     """Buckets larger than a block give the same components."""
     df = chain(spark)
